@@ -14,7 +14,8 @@ from tablegauge.operators.checks import Check, DistinctCount, Measure, OrphanCou
 
 def reference_keys(reference: DataFrame, column: str) -> DataFrame:
     """Distinct non-NULL keys, under a name that cannot clash with the profiled table."""
-    return reference.select(F.col(column).alias("_reference_key")).dropna().distinct()
+    keys = reference.select(F.col(column).alias("_reference_key"))
+    return keys.filter(F.col("_reference_key").isNotNull()).distinct()
 
 
 def _orphans(df: DataFrame, by: str, orphan: OrphanCount, name: str) -> DataFrame:
@@ -22,14 +23,16 @@ def _orphans(df: DataFrame, by: str, orphan: OrphanCount, name: str) -> DataFram
 
     Rows are counted per key before they move, so a key that holds a third of the table reaches
     the join as one row per decision. The optimizer pushes the anti join below that count when
-    the reference is small enough to broadcast.
+    the reference is small enough to broadcast. A literal `NOT IN` would compare every row with
+    every key instead; whether the reference holds a NULL is asked once, as a scalar subquery.
     """
     key = as_column(orphan.column)
-    per_key = (
-        df.filter(within(orphan.scope, key.isNotNull()))
-        .groupBy(by, key.alias("_key"))
-        .agg(F.count("*").alias("_rows"))
-    )
+    rows = df.filter(within(orphan.scope, key.isNotNull()))
+    if orphan.mode == "null_aware":
+        rows = rows.filter(
+            ~orphan.reference.filter(F.col(orphan.reference_column).isNull()).exists()
+        )
+    per_key = rows.groupBy(by, key.alias("_key")).agg(F.count("*").alias("_rows"))
     known = reference_keys(orphan.reference, orphan.reference_column)
     return (
         per_key.join(known, F.col("_key") == F.col("_reference_key"), "left_anti")
@@ -66,13 +69,7 @@ def measure(df: DataFrame, by: str, measures: dict[Measure, str]) -> DataFrame:
 
 
 def _value(check: Check, names: dict[Measure, str]) -> Column:
-    columns = {}
-    for role, m in check.measures.items():
-        column = F.col(names[m])
-        if isinstance(m, OrphanCount) and m.mode == "null_aware":
-            has_null = m.reference.filter(F.col(m.reference_column).isNull()).exists()
-            column = F.when(has_null, F.lit(0)).otherwise(column)
-        columns[role] = column
+    columns = {role: F.col(names[m]) for role, m in check.measures.items()}
     return check.formula(**columns).cast("double").alias(check.name)
 
 

@@ -1,4 +1,4 @@
-"""Audits of all four profiled tables as one plan each."""
+"""Audits of the four profiled tables, and runs that read config and record the outcome."""
 
 from __future__ import annotations
 
@@ -7,13 +7,14 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from tablegauge import schemas
 from tablegauge.operators.freshness import freshness_audit, lag_freshness, run_freshness
 from tablegauge.operators.grading import TABLE_KEYS, dq_audit
 from tablegauge.operators.summary import dq_summary
 from tablegauge.plans import suites
-from tablegauge.sources import seeds
+from tablegauge.sources import audit_store, config_store, seeds
 
 
 @dataclass(frozen=True)
@@ -24,26 +25,25 @@ class ProfiledTables:
     contact: DataFrame
 
 
-def dq_summaries(
-    tables: ProfiledTables, as_of_ts: datetime, *, fk_mode: str = "null_aware"
-) -> dict[str, DataFrame]:
-    """The summary of each table, by its attribute name."""
+# The tables a run covers, by their attribute in ProfiledTables.
+TABLES = ("spine", "xref", "behavior", "contact")
+
+
+def table_summary(
+    tables: ProfiledTables, table: str, as_of_ts: datetime, *, fk_mode: str = "null_aware"
+) -> DataFrame:
+    """Summary of one table under its suite."""
     as_of = as_of_ts.date()
-    return {
-        "spine": dq_summary(tables.spine, suites.person_spine(as_of)),
-        "xref": dq_summary(
-            tables.xref,
-            suites.person_identifier_xref(as_of, tables.spine, fk_mode=fk_mode),
-        ),
-        "behavior": dq_summary(
-            tables.behavior,
-            suites.customer_behavior_daily(as_of, tables.spine, fk_mode=fk_mode),
-        ),
-        "contact": dq_summary(
-            tables.contact,
-            suites.person_contact_profile(as_of, tables.spine, fk_mode=fk_mode),
-        ),
-    }
+    if table == "spine":
+        suite = suites.person_spine(as_of)
+    else:
+        build = {
+            "xref": suites.person_identifier_xref,
+            "behavior": suites.customer_behavior_daily,
+            "contact": suites.person_contact_profile,
+        }[table]
+        suite = build(as_of, tables.spine, fk_mode=fk_mode)
+    return dq_summary(getattr(tables, table), suite)
 
 
 def dq_audit_all(
@@ -55,33 +55,84 @@ def dq_audit_all(
     fk_mode: str = "null_aware",
 ) -> DataFrame:
     """One audit run over all tables: summaries are stacked, then graded together."""
-    summaries = dq_summaries(tables, as_of_ts, fk_mode=fk_mode).values()
+    summaries = [table_summary(tables, table, as_of_ts, fk_mode=fk_mode) for table in TABLES]
     return dq_audit(reduce(DataFrame.unionByName, summaries), thresholds, as_of_ts, keys=keys)
 
 
-def freshness_summaries(tables: ProfiledTables, as_of_ts: datetime) -> dict[str, DataFrame]:
-    """The freshness summary of each table, by its attribute name."""
-    return {
-        "spine": run_freshness(tables.spine, seeds.PERSON_SPINE[0], as_of_ts),
-        "xref": run_freshness(tables.xref, seeds.PERSON_IDENTIFIER_XREF[0], as_of_ts),
-        "behavior": lag_freshness(tables.behavior, seeds.CUSTOMER_BEHAVIOR_DAILY[0], as_of_ts),
-        "contact": run_freshness(tables.contact, seeds.PERSON_CONTACT_PROFILE[0], as_of_ts),
-    }
+def table_freshness(tables: ProfiledTables, table: str, as_of_ts: datetime) -> DataFrame:
+    """Freshness summary of one table: by run, or by lag for the daily table without runs."""
+    if table == "behavior":
+        return lag_freshness(tables.behavior, seeds.CUSTOMER_BEHAVIOR_DAILY[0], as_of_ts)
+    name, _ = {
+        "spine": seeds.PERSON_SPINE,
+        "xref": seeds.PERSON_IDENTIFIER_XREF,
+        "contact": seeds.PERSON_CONTACT_PROFILE,
+    }[table]
+    return run_freshness(getattr(tables, table), name, as_of_ts)
+
+
+def table_freshness_audit(
+    tables: ProfiledTables, table: str, rules: DataFrame, as_of_ts: datetime
+) -> DataFrame:
+    """Freshness audit of one table: exact by run, lag-tolerant for the daily table."""
+    grade = "lag_tolerant" if table == "behavior" else "exact"
+    return freshness_audit(table_freshness(tables, table, as_of_ts), rules, as_of_ts, grade=grade)
+
+
+def freshness_audit_all(tables: ProfiledTables, rules: DataFrame, as_of_ts: datetime) -> DataFrame:
+    audits = [table_freshness_audit(tables, table, rules, as_of_ts) for table in TABLES]
+    return reduce(DataFrame.unionByName, audits)
 
 
-def freshness_audits(
-    tables: ProfiledTables, rules: DataFrame, as_of_ts: datetime
-) -> dict[str, DataFrame]:
-    """The freshness audit of each table: exact by run, lag-tolerant for the daily table."""
-    return {
-        name: freshness_audit(
-            summary, rules, as_of_ts, grade="lag_tolerant" if name == "behavior" else "exact"
+@dataclass(frozen=True)
+class Store:
+    """Where config versions and audit rows live. Any path Spark can read will do."""
+
+    thresholds: str
+    freshness_rules: str
+    dq_audit: str
+    freshness_audit: str
+
+    @classmethod
+    def under(cls, root: str) -> Store:
+        names = ("dq_thresholds", "freshness_rules", "dq_audit", "freshness_audit")
+        return cls(*[f"{root}/{name}" for name in names])
+
+    def install(self, spark: SparkSession, as_of_ts: datetime) -> None:
+        """Write the initial thresholds and rules as version 1."""
+        config_store.write_config(
+            seeds.seed_thresholds(spark, as_of_ts),
+            self.thresholds,
+            schemas.THRESHOLDS,
+            version=1,
+            unique_id="threshold_id",
+        )
+        config_store.write_config(
+            seeds.seed_freshness_rules(spark, as_of_ts),
+            self.freshness_rules,
+            schemas.FRESHNESS_RULES,
+            version=1,
         )
-        for name, summary in freshness_summaries(tables, as_of_ts).items()
-    }
 
 
-def freshness_audit_all(
-    tables: ProfiledTables, rules: DataFrame, as_of_ts: datetime
-) -> DataFrame:
-    return reduce(DataFrame.unionByName, freshness_audits(tables, rules, as_of_ts).values())
+def record_dq_audit(
+    spark: SparkSession,
+    tables: ProfiledTables,
+    store: Store,
+    as_of_ts: datetime,
+    *,
+    fk_mode: str = "null_aware",
+) -> None:
+    """Audit all tables against the latest thresholds and append the outcome."""
+    thresholds = config_store.read_config(spark, store.thresholds, schemas.THRESHOLDS)
+    audit = dq_audit_all(tables, thresholds, as_of_ts, fk_mode=fk_mode)
+    audit_store.append_audit(audit, store.dq_audit, schemas.DQ_AUDIT, "business_date")
+
+
+def record_freshness_audit(
+    spark: SparkSession, tables: ProfiledTables, store: Store, as_of_ts: datetime
+) -> None:
+    """Audit the freshness of all tables against the latest rules and append the outcome."""
+    rules = config_store.read_config(spark, store.freshness_rules, schemas.FRESHNESS_RULES)
+    audit = freshness_audit_all(tables, rules, as_of_ts)
+    audit_store.append_audit(audit, store.freshness_audit, schemas.FRESHNESS_AUDIT)

@@ -45,7 +45,7 @@ from tablegauge.operators.grading import DECISION_KEYS, dq_audit
 from tablegauge.operators.orphans import orphan_rows
 from tablegauge.operators.summary import dq_summary
 from tablegauge.plans import audits, suites
-from tablegauge.sources.sample_tables import AS_OF_TS, sample_tables, star_table
+from tablegauge.sources.sample_tables import AS_OF_TS, SampleTables, star_table
 from tablegauge.sources.seeds import seed_freshness_rules, seed_thresholds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,7 +58,7 @@ AS_OF = AS_OF_TS.date()
 
 def _summary(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return audits.dq_summaries(sample_tables(spark, sf_dir), AS_OF_TS)[table]
+        return audits.table_summary(SampleTables(spark, sf_dir), table, AS_OF_TS)
 
     return query
 
@@ -73,29 +73,29 @@ def _audit(table: str) -> Query:
 
 def dq_audit_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     thresholds = seed_thresholds(spark, AS_OF_TS)
-    return audits.dq_audit_all(sample_tables(spark, sf_dir), thresholds, AS_OF_TS)
+    return audits.dq_audit_all(SampleTables(spark, sf_dir), thresholds, AS_OF_TS)
 
 
 def dq_audit_all_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     thresholds = seed_thresholds(spark, AS_OF_TS)
     return audits.dq_audit_all(
-        sample_tables(spark, sf_dir), thresholds, AS_OF_TS, fk_mode="anti"
+        SampleTables(spark, sf_dir), thresholds, AS_OF_TS, fk_mode="anti"
     )
 
 
 def dq_summary_spine_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spine = sample_tables(spark, sf_dir).spine
+    spine = SampleTables(spark, sf_dir).spine
     return dq_summary(spine, suites.person_spine(AS_OF), emit_metadata=True)
 
 
 def dq_summary_contact_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = sample_tables(spark, sf_dir)
+    tables = SampleTables(spark, sf_dir)
     suite = suites.person_contact_profile(AS_OF, tables.spine)
     return dq_summary(tables.contact, suite, emit_metadata=True)
 
 
 def xref_unscoped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = sample_tables(spark, sf_dir)
+    tables = SampleTables(spark, sf_dir)
     suite = suites.person_identifier_xref(AS_OF, tables.spine, unscoped=True)
     return dq_summary(tables.xref, suite)
 
@@ -107,7 +107,7 @@ def _fk_violations(mode: str, clean_reference: bool = False) -> Query:
     """The foreign-key check alone, on the three tables that refer to the spine."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = sample_tables(spark, sf_dir)
+        tables = SampleTables(spark, sf_dir)
         spine = tables.spine.dropna(subset=["person_id"]) if clean_reference else tables.spine
         summaries = [
             dq_summary(
@@ -129,7 +129,7 @@ def _fk_violations(mode: str, clean_reference: bool = False) -> Query:
 
 
 def fk_orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = sample_tables(spark, sf_dir)
+    tables = SampleTables(spark, sf_dir)
     return orphan_rows(tables.xref, "person_id", tables.spine, "person_id")
 
 
@@ -137,14 +137,14 @@ def fk_orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_run_per_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = sample_tables(spark, sf_dir)
+    tables = SampleTables(spark, sf_dir)
     runs = [latest_runs(df) for df in (tables.spine, tables.xref, tables.contact)]
     return reduce(DataFrame.unionByName, runs)
 
 
 def _freshness_summary(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return audits.freshness_summaries(sample_tables(spark, sf_dir), AS_OF_TS)[table]
+        return audits.table_freshness(SampleTables(spark, sf_dir), table, AS_OF_TS)
 
     return query
 
@@ -152,14 +152,14 @@ def _freshness_summary(table: str) -> Query:
 def _freshness_audit(table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rules = seed_freshness_rules(spark, AS_OF_TS)
-        return audits.freshness_audits(sample_tables(spark, sf_dir), rules, AS_OF_TS)[table]
+        return audits.table_freshness_audit(SampleTables(spark, sf_dir), table, rules, AS_OF_TS)
 
     return query
 
 
 def freshness_audit_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = seed_freshness_rules(spark, AS_OF_TS)
-    return audits.freshness_audit_all(sample_tables(spark, sf_dir), rules, AS_OF_TS)
+    return audits.freshness_audit_all(SampleTables(spark, sf_dir), rules, AS_OF_TS)
 
 
 # --- config changes, seen through the next run --------------------------------------------

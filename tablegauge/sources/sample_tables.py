@@ -7,10 +7,10 @@ is kept, and the identifier links gain a duplicate for some orders. The clock is
 from __future__ import annotations
 
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablegauge.plans.audits import ProfiledTables
 from tablegauge.sources.tables import load_table
 
 AS_OF_TS = datetime(2024, 1, 31, 6, 0, 0)
@@ -137,11 +137,28 @@ def person_contact_profile(customer: DataFrame) -> DataFrame:
     )
 
 
-def sample_tables(spark: SparkSession, sf_dir: str) -> ProfiledTables:
-    customer = star_table(spark, sf_dir, "customer")
-    return ProfiledTables(
-        spine=person_spine(customer),
-        xref=person_identifier_xref(star_table(spark, sf_dir, "orders")),
-        behavior=customer_behavior_daily(star_table(spark, sf_dir, "events")),
-        contact=person_contact_profile(customer),
-    )
+class SampleTables:
+    """The four tables, each read when it is first used."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._read = lambda name: star_table(spark, sf_dir, name)
+
+    @cached_property
+    def _customer(self) -> DataFrame:
+        return self._read("customer")
+
+    @cached_property
+    def spine(self) -> DataFrame:
+        return person_spine(self._customer)
+
+    @cached_property
+    def xref(self) -> DataFrame:
+        return person_identifier_xref(self._read("orders"))
+
+    @cached_property
+    def behavior(self) -> DataFrame:
+        return customer_behavior_daily(self._read("events"))
+
+    @cached_property
+    def contact(self) -> DataFrame:
+        return person_contact_profile(self._customer)

@@ -1,0 +1,262 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import AS_OF, keys_frame, values
+from tablegauge import (
+    Check,
+    DistinctCount,
+    RowCount,
+    Suite,
+    count_where,
+    coverage_gap_pct,
+    deactivated_pct,
+    dq_summary,
+    foreign_key,
+    matches,
+    min_age,
+    not_null,
+    ordered,
+    orphan_rows,
+    period_drop_pct,
+    required_when,
+    unique,
+)
+from tablegauge.functions import div0, exact_length, like, min_digits
+
+KEYS = ["1", "9", None, "1", "2"]
+
+
+@pytest.mark.parametrize(
+    ("reference", "null_aware", "anti"),
+    [(["1", "2", None], 0, 1), (["1", "2"], 1, 1), ([], 4, 4), ([None], 0, 4)],
+)
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_foreign_key(spark, reference, null_aware, anti, broadcast):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        df, ref = keys_frame(spark, KEYS), keys_frame(spark, reference)
+        assert values(
+            df,
+            foreign_key("NULL_AWARE", "key", ref, "key", mode="null_aware"),
+            foreign_key("ANTI", "key", ref, "key"),
+        ) == {"NULL_AWARE": null_aware, "ANTI": anti}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_foreign_key_null_aware_agrees_with_not_in(spark):
+    df = keys_frame(spark, KEYS)
+    for reference in (["1", "2", None], ["1", "2"], []):
+        ref = keys_frame(spark, reference)
+        df.createOrReplaceTempView("fk_rows")
+        ref.createOrReplaceTempView("fk_reference")
+        literal = spark.sql(
+            "SELECT count(*) FROM fk_rows WHERE key IS NOT NULL"
+            " AND key NOT IN (SELECT key FROM fk_reference)"
+        ).first()[0]
+        check = foreign_key("FK", "key", ref, "key", mode="null_aware")
+        assert values(df, check) == {"FK": literal}
+
+
+def test_foreign_key_scope_and_self_reference(spark):
+    df = spark.createDataFrame(
+        [("D", "a", None), ("D", "b", "a"), ("D", "c", "x"), ("D", "d", "x")],
+        "decision_id string, id string, parent string",
+    )
+    check = foreign_key("FK", "parent", df, "id", scope=F.col("id") != "d")
+    assert values(df, check) == {"FK": 1}
+
+
+def test_foreign_key_rejects_unknown_mode(spark):
+    with pytest.raises(ValueError, match="mode"):
+        foreign_key("FK", "key", keys_frame(spark, []), "key", mode="loose")
+
+
+def test_clean_decision_keeps_its_zero(spark):
+    df = keys_frame(spark, ["1", "2"], "CLEAN").union(keys_frame(spark, ["9"], "DIRTY"))
+    suite = Suite("T", (foreign_key("FK", "key", keys_frame(spark, ["1", "2"]), "key"),))
+    rows = dq_summary(df, suite).collect()
+    assert {(r.decision_id, r.check_value) for r in rows} == {("CLEAN", 0.0), ("DIRTY", 1.0)}
+
+
+def test_orphan_rows(spark):
+    df, ref = keys_frame(spark, KEYS), keys_frame(spark, ["1", "1", None])
+    assert sorted(r.key for r in orphan_rows(df, "key", ref, "key").collect()) == ["2", "9"]
+    scoped = orphan_rows(df, "key", ref, "key", scope=F.col("key") > "5")
+    assert [r.key for r in scoped.collect()] == ["9"]
+    assert scoped.columns == df.columns
+
+
+def test_null_keys_count_as_duplicates(spark):
+    df = keys_frame(spark, KEYS)
+    assert values(df, unique("UNQ", DistinctCount(("key",)))) == {"UNQ": 2}
+
+
+def test_composite_key_with_a_null_part_is_no_key(spark):
+    df = spark.createDataFrame(
+        [("D", "a", 1), ("D", "a", 1), ("D", "a", None), ("D", None, 1)],
+        "decision_id string, x string, y int",
+    )
+    assert values(df, unique("UNQ", DistinctCount(("x", "y")))) == {"UNQ": 3}
+    scoped = DistinctCount(("x", "y"), F.col("x").isNotNull())
+    assert values(df, unique("UNQ", scoped)) == {"UNQ": 2}
+
+
+def test_uniqueness_is_never_negative(spark):
+    df = keys_frame(spark, ["1", "2", "3"])
+    rows = RowCount(F.col("key") == "1")
+    assert values(df, unique("UNQ", DistinctCount(("key",)), rows)) == {"UNQ": 0}
+
+
+def test_concatenated_keys_may_collide(spark):
+    df = spark.createDataFrame(
+        [("D", "a-b", "c"), ("D", "a", "b-c")], "decision_id string, person string, src string"
+    )
+    joined = DistinctCount((F.concat("person", F.lit("-"), "src"),))
+    assert values(df, unique("UNQ", joined)) == {"UNQ": 1}
+
+
+def test_not_null_and_counts(spark):
+    df = spark.createDataFrame(
+        [("D", None, 1, True), ("D", "x", None, False), ("D", "y", 2, None), ("D", None, None, True)],
+        "decision_id string, a string, b int, active boolean",
+    )
+    active = F.col("active")
+    assert values(
+        df,
+        not_null("ONE", "a"),
+        not_null("ANY", "a", "b"),
+        not_null("SCOPED", "a", scope=active),
+        not_null("SCOPE_NEVER_NULL", "active", scope=active),
+        count_where("INACTIVE", ~active),
+        count_where("NULL_PREDICATE", F.col("b") > 1),
+        required_when("DEP", F.col("a").isNull(), "b"),
+    ) == {
+        "ONE": 2,
+        "ANY": 3,
+        "SCOPED": 2,
+        "SCOPE_NEVER_NULL": 0,
+        "INACTIVE": 1,
+        "NULL_PREDICATE": 1,
+        "DEP": 1,
+    }
+
+
+def test_ordered_and_min_age(spark):
+    df = spark.createDataFrame(
+        [
+            ("D", date(2024, 1, 2), date(2024, 1, 1)),
+            ("D", date(2024, 1, 1), date(2024, 1, 1)),
+            ("D", None, date(2024, 1, 1)),
+            ("D", date(2006, 12, 31), None),
+        ],
+        "decision_id string, a date, b date",
+    )
+    # Born on the last day of 2006: 17 on the day, yet 18 by calendar years.
+    assert values(df, ordered("LOG", "a", "b"), min_age("AGE", "a", 18, AS_OF)) == {
+        "LOG": 1,
+        "AGE": 2,
+    }
+
+
+def test_matches(spark):
+    df = spark.createDataFrame(
+        [
+            ("D", "a@b", "(555) 123-4567", "TX", 1),
+            ("D", "ab", "555-0101", "TEX", 1),
+            ("D", "ab", "555-0101", "T", 0),
+            ("D", None, None, None, 1),
+            ("D", "ab", "", "", None),
+        ],
+        "decision_id string, email string, phone string, state string, valid int",
+    )
+    valid = F.col("valid") == 1
+    assert values(
+        df,
+        matches("EMAIL", "email", like("%@%"), guard=valid),
+        matches("PHONE", "phone", min_digits(10), guard=valid),
+        matches("STATE", "state", exact_length(2)),
+        matches("SCOPED", "state", exact_length(2), scope=F.col("valid") == 0),
+    ) == {"EMAIL": 1, "PHONE": 1, "STATE": 3, "SCOPED": 1}
+
+
+def test_percentages(spark):
+    rows = [("D", d, None) for d in [29] * 4 + [30] * 3] + [("D", 31, "x")]
+    df = spark.createDataFrame(rows, "decision_id string, d int, v string").select(
+        "decision_id", F.make_date(F.lit(2024), F.lit(1), "d").alias("day"), "v"
+    )
+    nobody = RowCount(F.lit(False))
+    assert values(
+        df,
+        period_drop_pct("DROP", "day", AS_OF),
+        deactivated_pct("PCT", F.col("v").isNull(), RowCount()),
+        deactivated_pct("ZERO", F.col("v").isNull(), nobody),
+        coverage_gap_pct("GAP", "v", "day", date(2024, 1, 30), DistinctCount(("day",))),
+    ) == {"DROP": 25.0, "PCT": 87.5, "ZERO": 0.0, "GAP": 100.0}
+
+
+def test_growth_is_a_negative_drop(spark):
+    rows = [("D", date(2024, 1, 29))] + [("D", date(2024, 1, 30))] * 3
+    df = spark.createDataFrame(rows, "decision_id string, day date")
+    assert values(df, period_drop_pct("DROP", "day", AS_OF)) == {"DROP": -200.0}
+
+
+def test_coverage_gap_compares_timestamps_with_the_start_of_the_day(spark):
+    rows = [("D", datetime(2024, 1, 31, 0, 0), None), ("D", datetime(2024, 1, 30, 23, 59), None)]
+    df = spark.createDataFrame(rows, "decision_id string, ts timestamp_ntz, v string")
+    assert values(df, coverage_gap_pct("GAP", "v", "ts", AS_OF, RowCount())) == {"GAP": 50.0}
+
+
+def test_div0(spark):
+    df = spark.createDataFrame(
+        [(1, 0), (0, 0), (None, 0), (None, 2), (1, None), (1, 2)], "n int, d int"
+    )
+    got = [r[0] for r in df.select(div0(F.col("n"), F.col("d"))).collect()]
+    assert got == [0.0, 0.0, None, None, None, 0.5]
+
+
+def test_null_decision_is_a_group(spark):
+    df = keys_frame(spark, ["1", "1"], None).union(keys_frame(spark, ["1"], "D"))
+    suite = Suite(
+        "T", (unique("UNQ", DistinctCount(("key",))), foreign_key("FK", "key", df, "key"))
+    )
+    assert {tuple(r) for r in dq_summary(df, suite).collect()} == {
+        (None, "T", "UNQ", 1.0),
+        (None, "T", "FK", 0.0),
+        ("D", "T", "UNQ", 0.0),
+        ("D", "T", "FK", 0.0),
+    }
+
+
+def test_null_metrics_vanish_unless_kept(spark):
+    df = keys_frame(spark, ["1"])
+    suite = Suite("T", (Check("N", {"n": RowCount()}, lambda n: F.nullif(n, F.lit(1))),))
+    assert dq_summary(df, suite).count() == 0
+    kept = dq_summary(df, suite, keep_null_metrics=True).collect()
+    assert [tuple(r) for r in kept] == [("D", "T", "N", None)]
+
+
+def test_suite_scope_drops_rows_and_empty_tables_have_no_decisions(spark):
+    df = keys_frame(spark, KEYS)
+    check = count_where("N", F.lit(True))
+    assert values(df, check, scope=F.col("key").isNull()) == {"N": 1}
+    assert values(df, check, scope=F.lit(False)) == {}
+
+
+def test_metadata_rows(spark):
+    rows, keys = RowCount(), DistinctCount(("key",))
+    meta = (
+        Check("TOTAL_VOL", {"n": rows}, lambda n: n),
+        Check("DISTINCT_PK", {"n": keys}, lambda n: n),
+    )
+    suite = Suite("T", (unique("UNQ", keys, rows),), metadata=meta)
+    df = keys_frame(spark, KEYS)
+    assert [r.check_name for r in dq_summary(df, suite).collect()] == ["UNQ"]
+    shown = dq_summary(df, suite, emit_metadata=True).collect()
+    assert {r.check_name: r.check_value for r in shown} == {
+        "UNQ": 2,
+        "TOTAL_VOL": 5,
+        "DISTINCT_PK": 3,
+    }
