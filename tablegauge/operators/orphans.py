@@ -6,7 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.functions import as_column, within
-from tablegauge.operators.summary import reference_keys
+
+
+def _thinned_keys(reference: DataFrame, column: str) -> DataFrame:
+    """Non-NULL reference keys, each at most once per partition of the reference.
+
+    Enough to take the weight out of a hot key. A plain distinct would go further, but its final
+    aggregate sits between shuffle and join, where adaptive execution no longer splits skew.
+    """
+    keys = reference.select(F.col(column).alias("_reference_key"))
+    return (
+        keys.filter(F.col("_reference_key").isNotNull())
+        .withColumn("_partition", F.spark_partition_id())
+        .distinct()
+        .select("_reference_key")
+    )
 
 
 def orphan_rows(
@@ -20,10 +34,9 @@ def orphan_rows(
     """Rows whose non-NULL key is absent from the reference.
 
     Whole rows must move when the reference is too large to broadcast. A hot key then lands in
-    one partition of the left side, which adaptive execution splits: an anti join may split its
-    left side freely, and the right side holds each key once.
+    one partition of the left side, which adaptive execution splits over several tasks.
     """
     key = as_column(column)
     rows = df.filter(within(scope, key.isNotNull()))
-    known = reference_keys(reference, reference_column)
+    known = _thinned_keys(reference, reference_column)
     return rows.join(known, key == F.col("_reference_key"), "left_anti")
