@@ -48,7 +48,7 @@ def like(pattern: str) -> Callable[[Column], Column]:
 
 
 def min_digits(count: int) -> Callable[[Column], Column]:
-    return lambda text: F.length(F.regexp_replace(text, "[^0-9]", "")) >= count
+    return lambda text: F.length(F.regexp_replace(text, "[^0-9]+", "")) >= count
 
 
 def exact_length(count: int) -> Callable[[Column], Column]:

@@ -3,10 +3,21 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from helpers import AS_OF, AS_OF_TS, keys_frame, plan_of
-from tablegauge import dq_audit, dq_summary, latest_runs, orphan_rows
+from tablegauge import (
+    DistinctCount,
+    Suite,
+    count_where,
+    dq_audit,
+    dq_summary,
+    foreign_key,
+    latest_runs,
+    orphan_rows,
+    unique,
+)
 from tablegauge.plans import suites
 from tablegauge.sources.sample_tables import SampleTables
 from tablegauge.sources.seeds import seed_thresholds
@@ -137,3 +148,39 @@ def test_hot_orphan_key_is_split(spark, conf, tmp_path):
     orphans = orphan_rows(df, "key", reference, "key")
     assert "SortMergeJoin(skew=true)" in plan_of(orphans, final=True)
     assert orphans.count() == 20_000
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+@pytest.mark.parametrize("clean", [True, False])
+def test_branches_meet_correctly_for_many_decisions(spark, conf, broadcast, clean):
+    """Each branch is coalesced on its own, yet a decision must come out once and complete."""
+    conf(
+        autoBroadcastJoinThreshold=broadcast,
+        shuffle__partitions="50",
+        adaptive__coalescePartitions__minPartitionSize="1KB",
+        adaptive__advisoryPartitionSizeInBytes="2KB",
+    )
+    df = spark.range(30_000).selectExpr(
+        "CAST(id % 3000 AS STRING) AS decision_id", "CAST(id DIV 2 AS STRING) AS key"
+    )
+    limit = 15_000 if clean else 14_000
+    reference = keys_frame(spark, [str(i) for i in range(limit)])
+    suite = Suite(
+        "T",
+        (
+            count_where("ROWS", F.lit(True)),
+            unique("DUPLICATES", DistinctCount(("key",))),
+            foreign_key("ORPHANS", "key", reference, "key"),
+        ),
+    )
+    summary = dq_summary(df, suite)
+    by_check = summary.groupBy("check_name").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("decision_id").alias("decisions"),
+        F.sum("check_value").alias("total"),
+    )
+    assert {tuple(r) for r in by_check.collect()} == {
+        ("ROWS", 3000, 3000, 30_000.0),
+        ("DUPLICATES", 3000, 3000, 0.0),
+        ("ORPHANS", 3000, 3000, 0.0 if clean else 2000.0),
+    }
