@@ -501,7 +501,8 @@ _KINDS = {
         "EVENTS",
         {
             "THR_EVENT_DROP_PCT": _PCT.format(
-                n=f"({_n(f'CAST(ts AS DATE) = {_DAY} - 2')} - {_n(f'CAST(ts AS DATE) = {_DAY} - 1')})",
+                n=f"""({_n(f"CAST(ts AS DATE) = {_DAY} - 2")}
+                  - {_n(f"CAST(ts AS DATE) = {_DAY} - 1")})""",
                 d=_n(f"CAST(ts AS DATE) = {_DAY} - 2"),
             )
         },

@@ -14,7 +14,7 @@ and a percentage over the same keys) computes it once.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 from operator import or_
@@ -91,7 +91,7 @@ class Suite:
     table_name: str
     checks: tuple[Check, ...]
     scope: Column | None = None
-    metadata: tuple[Check, ...] = field(default=())
+    metadata: tuple[Check, ...] = ()
     emit_metadata: bool = False
     by: str = "decision_id"
 

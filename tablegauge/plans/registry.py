@@ -247,7 +247,8 @@ def part_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_brand AS table_name",
         "p_name AS check_name",
         "p_type AS decision_id",
-        "CASE WHEN p_size <= 20 THEN 'FAIL' WHEN p_size <= 40 THEN 'WARN' ELSE 'INFO' END AS severity",
+        """CASE WHEN p_size <= 20 THEN 'FAIL' WHEN p_size <= 40 THEN 'WARN' ELSE 'INFO' END
+            AS severity""",
         "'ABSOLUTE_COUNT' AS threshold_type",
         "CAST(p_size AS BIGINT) AS threshold_value",
         "CAST(NULL AS BIGINT) AS lookback_days",

@@ -87,7 +87,7 @@ def person_identifier_xref(
             ordered("LOG_EFFECTIVE_START_LS_END_TS", "effective_start_date", "effective_end_date"),
             deactivated_pct(
                 "THR_RECORD_DROP_PCT",
-                F.col("effective_end_date") == F.lit(as_of),
+                F.to_date("effective_end_date") == F.lit(as_of),
                 RowCount() if unscoped else rows,
             ),
         ),
@@ -185,7 +185,7 @@ def person_contact_profile(
                 ~active & (F.to_date("record_updated_ts") == F.lit(as_of)),
                 keys,
             ),
-            count_where("THR_NAME_NULL", F.col("first_name").isNull() | F.col("last_name").isNull()),
+            not_null("THR_NAME_NULL", "first_name", "last_name"),
         ),
         metadata=(measured("TOTAL_VOL", rows), measured("DISTINCT_PK", keys)),
     )

@@ -26,7 +26,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def append_audit(
     df: DataFrame, path: str, schema: T.StructType, partition_by: str | None = None
 ) -> None:
-    """Append audit rows as parquet files; earlier runs stay as they are."""
+    """Append audit rows as parquet files; earlier runs stay as they are.
+
+    One writer at a time: file appends that commit to the same path at once disturb each other.
+    """
     writer = conform(df, schema).write.mode("append")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 

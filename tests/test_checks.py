@@ -120,7 +120,12 @@ def test_concatenated_keys_may_collide(spark):
 
 def test_not_null_and_counts(spark):
     df = spark.createDataFrame(
-        [("D", None, 1, True), ("D", "x", None, False), ("D", "y", 2, None), ("D", None, None, True)],
+        [
+            ("D", None, 1, True),
+            ("D", "x", None, False),
+            ("D", "y", 2, None),
+            ("D", None, None, True),
+        ],
         "decision_id string, a string, b int, active boolean",
     )
     active = F.col("active")

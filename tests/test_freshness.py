@@ -21,7 +21,8 @@ def _runs(spark, *rows):
 
 
 def _actual(df, **options):
-    return {r.rule_name: r.actual_value for r in run_freshness(df, "T", AS_OF_TS, **options).collect()}
+    rows = run_freshness(df, "T", AS_OF_TS, **options).collect()
+    return {r.rule_name: r.actual_value for r in rows}
 
 
 def _grade(spark, rule, actual, grade="exact", lag=None):

@@ -129,6 +129,25 @@ def test_spine_keys_are_shuffled_once_for_all_tables(spark, conf):
     assert plan.count("ReusedExchange") >= 2
 
 
+def test_bucketed_tables_need_no_key_shuffle(spark, conf):
+    """Where both tables are bucketed by the key, only rows per decision move."""
+    conf(autoBroadcastJoinThreshold="-1")
+    tables = SampleTables(spark, SF_DIR)
+    try:
+        for name in ("spine", "xref"):
+            writer = getattr(tables, name).write.bucketBy(4, "person_id")
+            writer.mode("overwrite").saveAsTable(f"bucketed_{name}")
+        suite = suites.person_identifier_xref(
+            AS_OF, spark.table("bucketed_spine"), fk_mode="anti"
+        )
+        plan = plan_of(dq_summary(spark.table("bucketed_xref"), suite))
+        keys = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)
+        assert len(keys) == 3 and all(re.fullmatch(r"decision_id#\d+", k) for k in keys)
+    finally:
+        for name in ("spine", "xref"):
+            spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")
+
+
 def test_hot_orphan_key_is_split(spark, conf, tmp_path):
     """A key that holds a third of the rows does not end up in one task."""
     conf(

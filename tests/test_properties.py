@@ -104,7 +104,9 @@ def test_counts_of_parts_add_up(spark, table):
             ~names.startswith("UNQ") & ~names.endswith("PCT") & ~names.endswith("DROP")
         )
 
-    parts = reduce(DataFrame.unionByName, [counts(df.filter(F.col("_part") == i)) for i in range(3)])
+    parts = reduce(
+        DataFrame.unionByName, [counts(df.filter(F.col("_part") == i)) for i in range(3)]
+    )
     added = parts.groupBy("check_name").agg(F.sum("check_value").alias("check_value"))
     whole = {r.check_name: r.check_value for r in counts(df).collect()}
     assert {r.check_name: r.check_value for r in added.collect()} == whole
