@@ -12,6 +12,11 @@ from tablegauge.functions import as_column, within
 from tablegauge.operators.checks import Check, DistinctCount, Measure, OrphanCount, RowCount, Suite
 
 
+# The JVM leaves methods beyond 8000 bytes interpreted, and the generated method of an aggregate
+# grows by 150 to 350 bytes per counter.
+COUNTS_PER_AGGREGATE = 20
+
+
 def reference_keys(reference: DataFrame, column: str) -> DataFrame:
     """Distinct non-NULL keys, under a name that cannot clash with the profiled table."""
     keys = reference.select(F.col(column).alias("_reference_key"))
@@ -44,14 +49,18 @@ def _orphans(df: DataFrame, by: str, orphan: OrphanCount, name: str) -> DataFram
 def measure(df: DataFrame, by: str, measures: dict[Measure, str]) -> DataFrame:
     """One row per decision with a column per measure.
 
-    All row counts share one aggregate whose shuffle carries a row per decision and task. Each
+    Row counts share an aggregate whose shuffle carries a row per decision and task; only suites
+    too large for one generated method spread them over several, each with its own scan. Each
     distinct count and each orphan count is an aggregate of its own that reads and shuffles its
     key columns only. Computing a distinct count next to the row counts would instead drag every
     counter through the shuffle of the keys. The branches meet in a union that is already
     partitioned by decision, which also keeps the NULL decision together.
     """
     counts = [m.aggregate().alias(name) for m, name in measures.items() if isinstance(m, RowCount)]
-    branches = [df.groupBy(by).agg(*counts)] if counts else []
+    branches = [
+        df.groupBy(by).agg(*counts[i : i + COUNTS_PER_AGGREGATE])
+        for i in range(0, len(counts), COUNTS_PER_AGGREGATE)
+    ]
     for m, name in measures.items():
         if isinstance(m, DistinctCount):
             branches.append(df.groupBy(by).agg(m.aggregate().alias(name)))

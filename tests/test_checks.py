@@ -250,6 +250,16 @@ def test_suite_scope_drops_rows_and_empty_tables_have_no_decisions(spark):
     assert values(df, check, scope=F.lit(False)) == {}
 
 
+def test_large_suite(spark):
+    """More row counts than fit one aggregate."""
+    df = spark.range(100).selectExpr("CAST(id % 2 AS STRING) AS decision_id", "id")
+    checks = tuple(count_where(f"BELOW_{i}", F.col("id") < i) for i in range(45))
+    summary = dq_summary(df, Suite("T", checks))
+    assert {tuple(r) for r in summary.collect()} == {
+        (str(d), "T", f"BELOW_{i}", float(len(range(d, i, 2)))) for d in (0, 1) for i in range(45)
+    }
+
+
 def test_metadata_rows(spark):
     rows, keys = RowCount(), DistinctCount(("key",))
     meta = (
