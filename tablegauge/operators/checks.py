@@ -95,6 +95,12 @@ class Suite:
     emit_metadata: bool = False
     by: str = "decision_id"
 
+    def __post_init__(self) -> None:
+        names = [check.name for check in self.checks + self.metadata]
+        repeated = {name for name in names if names.count(name) > 1}
+        if repeated:
+            raise ValueError(f"check names must be unique, repeated: {sorted(repeated)}")
+
 
 def measured(name: str, measure: Measure) -> Check:
     """A check whose value is one measure."""

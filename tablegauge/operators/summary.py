@@ -111,7 +111,7 @@ def dq_summary(
 
     base = df if suite.scope is None else df.filter(suite.scope)
     wide = measure(base, suite.by, names).select(
-        F.col(suite.by).alias("decision_id"), *[_value(check, names) for check in checks]
+        F.col(suite.by).cast("string").alias("decision_id"), *[_value(check, names) for check in checks]
     )
     rows = metric_rows(
         wide,

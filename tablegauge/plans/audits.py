@@ -10,6 +10,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from tablegauge import schemas
+from tablegauge.operators.config import (
+    FreshnessRuleChange,
+    ThresholdChange,
+    update_freshness_rules,
+    update_thresholds,
+)
 from tablegauge.operators.freshness import freshness_audit, lag_freshness, run_freshness
 from tablegauge.operators.grading import TABLE_KEYS, dq_audit
 from tablegauge.operators.summary import dq_summary
@@ -114,6 +120,30 @@ class Store:
             version=1,
         )
 
+    def change_thresholds(
+        self, spark: SparkSession, changes: Sequence[ThresholdChange], as_of_ts: datetime
+    ) -> None:
+        """Write the latest thresholds with the changes applied as the next version."""
+        version = config_store.latest_version(spark, self.thresholds, schemas.THRESHOLDS)
+        current = config_store.read_config(spark, self.thresholds, schemas.THRESHOLDS, version)
+        config_store.write_config(
+            update_thresholds(current, changes, as_of_ts),
+            self.thresholds,
+            schemas.THRESHOLDS,
+            version=version + 1,
+            unique_id="threshold_id",
+        )
+
+    def change_freshness_rules(
+        self, spark: SparkSession, changes: Sequence[FreshnessRuleChange], as_of_ts: datetime
+    ) -> None:
+        """Write the latest freshness rules with the changes applied as the next version."""
+        root, schema = self.freshness_rules, schemas.FRESHNESS_RULES
+        version = config_store.latest_version(spark, root, schema)
+        current = config_store.read_config(spark, root, schema, version)
+        changed = update_freshness_rules(current, changes, as_of_ts)
+        config_store.write_config(changed, root, schema, version=version + 1)
+
 
 def record_dq_audit(
     spark: SparkSession,

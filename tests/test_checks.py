@@ -275,3 +275,16 @@ def test_metadata_rows(spark):
         "TOTAL_VOL": 5,
         "DISTINCT_PK": 3,
     }
+
+
+def test_numeric_decision_becomes_text(spark):
+    df = spark.range(3).withColumn("k", F.lit("x"))
+    summary = dq_summary(df, Suite("T", (unique("UNQ", DistinctCount(("k",))),), by="id"))
+    assert dict(summary.dtypes)["decision_id"] == "string"
+    assert {r.decision_id for r in summary.collect()} == {"0", "1", "2"}
+
+
+def test_check_names_are_unique():
+    check = Check("N", {"n": RowCount()}, lambda n: n)
+    with pytest.raises(ValueError, match="repeated: \\['N'\\]"):
+        Suite("T", (check, check))

@@ -1,6 +1,7 @@
 from datetime import timedelta
 
 from helpers import AS_OF_TS
+from tablegauge import FreshnessRuleChange, ThresholdChange
 from tablegauge.plans.audits import (
     Store,
     dq_audit_all,
@@ -36,6 +37,47 @@ def test_runs_append_to_the_audit(spark, tmp_path):
     assert first.filter("status = 'PASSED'").count() == 7
 
 
+def test_a_changed_threshold_grades_the_next_run(spark, tmp_path):
+    tables, store = SampleTables(spark, SF_DIR), Store.under(str(tmp_path))
+    store.install(spark, AS_OF_TS)
+    record_dq_audit(spark, tables, store, AS_OF_TS)
+    later = AS_OF_TS + timedelta(hours=1)
+    change = ThresholdChange(
+        table_name="PERSON_SPINE",
+        check_name="THR_SSN_NULL",
+        decision_id="LCV1-S1-D01",
+        severity="FAIL",
+        threshold_type="ABSOLUTE_COUNT",
+        threshold_value=10,
+    )
+    store.change_thresholds(spark, [change], later)
+    record_dq_audit(spark, tables, store, later)
+    audit = read_audit(spark, store.dq_audit, DQ_AUDIT).filter(
+        "pipeline_name = 'PERSON_SPINE' AND check_name = 'THR_SSN_NULL'"
+    )
+    got = [(r.threshold, r.status) for r in audit.orderBy("created_ts").collect()]
+    assert got == [(200, "PASSED"), (10, "FAIL")]
+
+
+def test_a_changed_rule_grades_the_next_run(spark, tmp_path):
+    tables, store = SampleTables(spark, SF_DIR), Store.under(str(tmp_path))
+    store.install(spark, AS_OF_TS)
+    change = FreshnessRuleChange(
+        target_table="CUSTOMER_BEHAVIOR_DAILY",
+        decision_id="LCV1-S1-D03",
+        rule_name="TABLE_FRESHNESS",
+        date_column="RECORD_UPDATED_TS",
+        expected_lag_days=1,
+        severity="WARN",
+    )
+    store.change_freshness_rules(spark, [change], AS_OF_TS)
+    record_freshness_audit(spark, tables, store, AS_OF_TS)
+    audit = read_audit(spark, store.freshness_audit, FRESHNESS_AUDIT)
+    row = audit.filter("decision_id = 'LCV1-S1-D03' AND rule_name = 'TABLE_FRESHNESS'").first()
+    assert (row.expected_value, row.status) == ("2024-01-30", "PASSED")
+    assert audit.count() == 8
+
+
 def test_catalog_tables(spark):
     tables = SampleTables(spark, SF_DIR)
     audit = dq_audit_all(tables, seed_thresholds(spark, AS_OF_TS), AS_OF_TS)
@@ -47,3 +89,10 @@ def test_catalog_tables(spark):
         assert load_table(spark, "dq_audit_t").count() == 86
     finally:
         spark.sql("DROP TABLE IF EXISTS dq_audit_t")
+
+
+def test_load_table_from_files(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(3).write.json(path)
+    assert load_table(spark, path, "json").count() == 3
+    assert load_table(spark, f"{SF_DIR}/region.parquet").count() == 5
