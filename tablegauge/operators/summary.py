@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tablegauge.functions import as_column, within
 from tablegauge.operators.checks import Check, DistinctCount, Measure, OrphanCount, RowCount, Suite
 
-
 # The JVM leaves methods beyond 8000 bytes interpreted, and the generated method of an aggregate
 # grows by 150 to 350 bytes per counter.
 COUNTS_PER_AGGREGATE = 20
@@ -27,9 +26,12 @@ def _orphans(df: DataFrame, by: str, orphan: OrphanCount, name: str) -> DataFram
     """Orphaned rows per decision.
 
     Rows are counted per key before they move, so a key that holds a third of the table reaches
-    the join as one row per decision. The optimizer pushes the anti join below that count when
-    the reference is small enough to broadcast. A literal `NOT IN` would compare every row with
-    every key instead; whether the reference holds a NULL is asked once, as a scalar subquery.
+    the join as one row per decision. It is a left join on purpose: an anti join is pushed below
+    the count as soon as the reference looks small enough to broadcast, and if it then turns out
+    larger, all rows of the hot key are shuffled to one task.
+
+    A literal `NOT IN` would compare every row with every key; whether the reference holds a NULL
+    is asked once instead, as a scalar subquery.
     """
     key = as_column(orphan.column)
     rows = df.filter(within(orphan.scope, key.isNotNull()))
@@ -39,10 +41,11 @@ def _orphans(df: DataFrame, by: str, orphan: OrphanCount, name: str) -> DataFram
         )
     per_key = rows.groupBy(by, key.alias("_key")).agg(F.count("*").alias("_rows"))
     known = reference_keys(orphan.reference, orphan.reference_column)
+    unknown_rows = F.when(F.col("_reference_key").isNull(), F.col("_rows")).otherwise(0)
     return (
-        per_key.join(known, F.col("_key") == F.col("_reference_key"), "left_anti")
+        per_key.join(known, F.col("_key") == F.col("_reference_key"), "left")
         .groupBy(by)
-        .agg(F.sum("_rows").alias(name))
+        .agg(F.sum(unknown_rows).alias(name))
     )
 
 
@@ -67,7 +70,7 @@ def measure(df: DataFrame, by: str, measures: dict[Measure, str]) -> DataFrame:
         elif isinstance(m, OrphanCount):
             branches.append(_orphans(df, by, m, name))
     if not any(isinstance(m, RowCount | DistinctCount) for m in measures):
-        # Orphan branches leave out clean decisions; this one brings them back with a zero.
+        # Orphan branches leave out decisions without keys; this one brings them back with a zero.
         branches.append(df.groupBy(by).agg(F.count("*").alias("_volume")))
     if len(branches) == 1:
         return branches[0]
