@@ -6,6 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.functions import as_column, within
+from tablegauge.operators.summary import reference_keys
+
+BROADCAST_BYTES = 64 * 1024 * 1024
+# What a broadcast key takes beside its own bytes, rounded up.
+BYTES_PER_KEY = 100
+
+
+def _fits_broadcast(keys: DataFrame, limit: int) -> bool:
+    """Measure the keys: file sizes are compressed and prove nothing about memory."""
+    width = F.octet_length(F.col("_reference_key").cast("string"))
+    size = keys.agg(F.sum(width + BYTES_PER_KEY)).first()[0]
+    return (size or 0) <= limit
 
 
 def _thinned_keys(reference: DataFrame, column: str) -> DataFrame:
@@ -30,13 +42,19 @@ def orphan_rows(
     reference_column: str,
     *,
     scope: Column | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows whose non-NULL key is absent from the reference.
 
-    Whole rows must move when the reference is too large to broadcast. A hot key then lands in
-    one partition of the left side, which adaptive execution splits over several tasks.
+    Runs one job at once, which measures the reference keys. Up to `broadcast_bytes` they are
+    broadcast and no row of `df` moves. Beyond, whole rows are shuffled by key. A hot key then
+    lands in one partition of the left side, which adaptive execution splits over several tasks.
     """
     key = as_column(column)
     rows = df.filter(within(scope, key.isNotNull()))
-    known = _thinned_keys(reference, reference_column)
+    known = reference_keys(reference, reference_column)
+    if _fits_broadcast(known, broadcast_bytes):
+        known = F.broadcast(known)
+    else:
+        known = _thinned_keys(reference, reference_column).hint("merge")
     return rows.join(known, key == F.col("_reference_key"), "left_anti")

@@ -81,12 +81,19 @@ def test_clean_decision_keeps_its_zero(spark):
     assert {(r.decision_id, r.check_value) for r in rows} == {("CLEAN", 0.0), ("DIRTY", 1.0)}
 
 
-def test_orphan_rows(spark):
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+def test_orphan_rows(spark, limit):
     df, ref = keys_frame(spark, KEYS), keys_frame(spark, ["1", "1", None])
-    assert sorted(r.key for r in orphan_rows(df, "key", ref, "key").collect()) == ["2", "9"]
-    scoped = orphan_rows(df, "key", ref, "key", scope=F.col("key") > "5")
-    assert [r.key for r in scoped.collect()] == ["9"]
-    assert scoped.columns == df.columns
+
+    def orphans(reference, **options):
+        rows = orphan_rows(df, "key", reference, "key", broadcast_bytes=limit, **options)
+        assert rows.columns == df.columns
+        return sorted(r.key for r in rows.collect())
+
+    assert orphans(ref) == ["2", "9"]
+    assert orphans(ref, scope=F.col("key") > "5") == ["9"]
+    assert orphans(keys_frame(spark, [])) == ["1", "1", "2", "9"]
+    assert orphans(df) == []
 
 
 def test_null_keys_count_as_duplicates(spark):

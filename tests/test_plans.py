@@ -67,7 +67,7 @@ def test_no_nested_loop_or_cross_join(spark, conf, name, broadcast):
     plan = plan_of(driver.queries()[name](spark, SF_DIR))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert "Python" not in plan and "Pandas" not in plan
-    if broadcast == "-1":
+    if broadcast == "-1" and name != "fk_orphan_rows":
         assert "BroadcastHashJoin" not in plan
 
 
@@ -83,14 +83,10 @@ def test_row_counts_share_one_scan_and_one_small_shuffle(stored):
     assert not re.search(r"Exchange[^\n]*\n[^\n]*HashAggregate[^\n]*\n[^\n]*Union", plan)
 
 
-def test_foreign_key_shuffles_counts_per_key(stored, conf):
-    conf(autoBroadcastJoinThreshold="-1")
+def test_foreign_key_scans_its_own_columns(stored):
     suite = suites.person_identifier_xref(AS_OF, stored.spine, fk_mode="anti")
     plan = plan_of(dq_summary(stored.xref, suite))
-    assert "SortMergeJoin" in plan
-    below = plan[plan.index("SortMergeJoin") :]
-    # The left side is aggregated per key before it is shuffled for the join.
-    assert re.search(r"Exchange[^\n]*_key[^\n]*\n[^\n]*HashAggregate\(keys=\[decision_id", below)
+    # Reference keys, foreign key, distinct key, row counts; scope and decision included.
     assert sorted(len(s) for s in scans(plan)) == [1, 3, 6, 9]
 
 
@@ -100,9 +96,11 @@ def test_rows_are_counted_before_the_foreign_key_join(stored, conf, broadcast):
     conf(autoBroadcastJoinThreshold=broadcast)
     suite = suites.person_identifier_xref(AS_OF, stored.spine, fk_mode="anti")
     plan = plan_of(dq_summary(stored.xref, suite))
-    join = re.search(r"(BroadcastHash|SortMerge)Join[^\n]*LeftOuter", plan)
+    assert "BroadcastHashJoin" not in plan
+    join = re.search(r"SortMergeJoin[^\n]*LeftOuter", plan)
     left = plan[join.end() :].split("_reference_key")[0]
-    assert re.search(r"HashAggregate\(keys=\[decision_id#\d+, person_id#\d+\], functions=\[count", left)
+    count = r"HashAggregate\(keys=\[decision_id#\d+, person_id#\d+\], functions=\[count"
+    assert re.search(count, left)
 
 
 def test_scope_and_null_probe_reach_the_scan(stored):
@@ -155,7 +153,6 @@ def test_bucketed_tables_need_no_key_shuffle(spark, conf):
 def test_hot_orphan_key_is_split(spark, conf, tmp_path):
     """A key that holds a third of the rows does not end up in one task."""
     conf(
-        autoBroadcastJoinThreshold="-1",
         adaptive__advisoryPartitionSizeInBytes="16KB",
         adaptive__skewJoin__skewedPartitionThresholdInBytes="32KB",
         adaptive__skewJoin__skewedPartitionFactor="2",
@@ -168,10 +165,16 @@ def test_hot_orphan_key_is_split(spark, conf, tmp_path):
     ).repartition(8).write.parquet(path)
     df = spark.read.parquet(path)
     reference = keys_frame(spark, [str(i) for i in range(20_000, 60_000)])
-    orphans = orphan_rows(df, "key", reference, "key")
+    orphans = orphan_rows(df, "key", reference, "key", broadcast_bytes=0)
     assert "SortMergeJoin(skew=true)" in plan_of(orphans, final=True)
     assert orphans.count() == 20_000
 
+    small = orphan_rows(df, "key", reference, "key")
+    plan = plan_of(small)
+    assert "BroadcastHashJoin" in plan
+    assert re.findall(r"hashpartitioning\((\w+)#", plan) == ["_reference_key"]
+    assert small.count() == 20_000
+
 
 @pytest.mark.parametrize("broadcast", ["10MB", "-1"])
 @pytest.mark.parametrize("clean", [True, False])
