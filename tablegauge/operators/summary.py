@@ -28,8 +28,9 @@ def _orphans(df: DataFrame, by: str, orphan: OrphanCount, name: str) -> DataFram
     Rows are counted per key before they move, so a key that holds a third of the table reaches
     the join as one row per decision. It is a left join on purpose: an anti join is pushed below
     the count as soon as the reference looks small enough to broadcast, and if it then turns out
-    larger, all rows of the hot key are shuffled to one task. Both sides hold a key once, so a
-    merge join is cheap and even; a broadcast would rest on a guess from compressed file sizes.
+    larger, all rows of the hot key are shuffled to one task. The left side holds a key
+    once per decision and the right side once, so a merge join is cheap; a broadcast would rest
+    on a guess from compressed file sizes.
 
     A literal `NOT IN` would compare every row with every key; whether the reference holds a NULL
     is asked once instead, as a scalar subquery.
