@@ -8,6 +8,7 @@ counts when `span` words in a row are equal; extension compares the words themse
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,30 +29,47 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), SEPARATORS), "")
 
 
-def _grams(hashes: Column, n: Column, k: int) -> Column:
-    """Hash and position of every k-gram, as longs; n >= k."""
-    places = F.sequence(F.lit(0), n - F.lit(k))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once per row; a plain column would be inlined into lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _hashes(w: Column) -> Column:
+    return F.transform(w, lambda x: F.xxhash64(x))
+
+
+def _grams(hashes: Column, k: int) -> Column:
+    """Hash and position of every k-gram, as longs; for k words and more."""
     high = F.lit(-(1 << _PLACE_BITS)).cast("long")
     return F.transform(
-        places, lambda i: F.xxhash64(F.slice(hashes, i + 1, k)).bitwiseAND(high).bitwiseOR(i.cast("long"))
+        F.sequence(F.lit(0), F.size(hashes) - F.lit(k)),
+        lambda i: F.xxhash64(*(F.get(hashes, i + j) for j in range(k))).bitwiseAND(high).bitwiseOR(i.cast("long")),
     )
 
 
-def _hashed(df: DataFrame) -> DataFrame:
-    return df.withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
+def _least(values: Column, width: int) -> Column:
+    """The least value of every `width` neighbours, and of fewer at the end."""
+    have = 1
+    body = [lambda v: v]
+    while have < width:  # of runs of `have` to runs of up to twice that
+        step = min(have, width - have)
+        body.append(
+            lambda v, inner=body[-1], step=step: _let(inner(v), lambda u: F.transform(u, lambda x, i: F.least(x, F.get(u, i + step))))
+        )
+        have += step
+    return body[-1](values)
 
 
-def _winnowed(df: DataFrame, k: int, span: int) -> DataFrame:
-    """Adds `kept`: the k-grams that some window of `span` words keeps; needs n >= span."""
+def _kept(w: Column, k: int, span: int) -> Column:
+    """The k-grams that some window of `span` words keeps; null for fewer words."""
     width = span - k + 1
-    return df.withColumn("g", _grams(F.col("h"), F.col("n"), k)).withColumn(
-        "kept",
-        F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(0), F.col("n") - F.lit(span)), lambda i: F.array_min(F.slice("g", i + 1, width))
-            )
-        ),
-    )
+    kept = _let(_hashes(w), lambda h: F.slice(_least(_grams(h, k), width), F.lit(1), F.size(h) - F.lit(span - 1)))
+    return F.when(F.size(w) >= span, F.array_distinct(kept))
+
+
+def _all_grams(w: Column, m: int) -> Column:
+    """Every m-gram; null for fewer words."""
+    return F.when(F.size(w) >= m, _let(_hashes(w), lambda h: _grams(h, m)))
 
 
 def _place(kept: Column) -> Column:
@@ -64,9 +82,9 @@ def _item_grams(benchmark: DataFrame, k: int, span: int) -> DataFrame:
     An item shorter than `span` is one gram without surroundings.
     """
     side = span - k
-    items = _hashed(benchmark.select(F.col("item_id").alias("item"), words(F.col("text")).alias("w")))
-    items = items.withColumn("n", F.size("w")).filter("n > 0 AND item IS NOT NULL")
-    whole = _winnowed(items.filter(F.col("n") >= span), k, span).select("item", "w", F.explode("kept").alias("e"))
+    items = benchmark.select(F.col("item_id").alias("item"), words(F.col("text")).alias("w"))
+    items = saved(items.withColumn("n", F.size("w")).filter("n > 0 AND item IS NOT NULL"))
+    whole = items.filter(F.col("n") >= span).select("item", "w", F.explode_outer(_kept(F.col("w"), k, span)).alias("e"))
     whole = whole.withColumn("p", _place(F.col("e"))).select(
         "item",
         F.shiftright("e", _PLACE_BITS).alias("key"),
@@ -76,7 +94,7 @@ def _item_grams(benchmark: DataFrame, k: int, span: int) -> DataFrame:
     )
     none = F.array().cast("array<string>")
     short = items.filter(F.col("n") < span).select(
-        "item", F.shiftright(F.xxhash64("h"), _PLACE_BITS).alias("key"), F.col("w").alias("gram"), none.alias("left"), none.alias("right")
+        "item", F.shiftright(F.xxhash64(_hashes(F.col("w"))), _PLACE_BITS).alias("key"), F.col("w").alias("gram"), none.alias("left"), none.alias("right")
     )
     return whole.unionByName(short).groupBy("key", "gram", "left", "right").agg(F.collect_set("item").alias("items"))
 
@@ -90,7 +108,7 @@ def _run(ours: list[Column], theirs: Column) -> Column:
     return out
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, k: int = 4, span: int = 13) -> DataFrame:
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, k: int = 6, span: int = 13) -> DataFrame:
     """k1, k2 (names of a text), n (its words), start, stop (words), items: every stretch shared with a benchmark item.
 
     `docs` has `text`; equal texts give equal rows.
@@ -102,17 +120,18 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, k: int = 4, span: int
     blocks = -(-n_bytes // BLOCK_BYTES)
     shorts = [r[0] for r in grams.select(F.size("gram")).filter((F.size("left") == 0) & (F.size("right") == 0)).distinct().collect()]
 
-    d = _hashed(docs.select(*text_keys(F.col("text")), words(F.col("text")).alias("w"))).withColumn("n", F.size("w"))
-    long_enough = d.filter(F.col("n") >= span)
-    exploded = [_winnowed(long_enough, k, span).select("k1", "k2", "n", "w", F.explode("kept").alias("e"))]
-    for m in shorts:  # at most span - 1 lengths
-        exploded.append(
-            d.filter(F.col("n") >= m).select("k1", "k2", "n", "w", F.explode(_grams(F.col("h"), F.col("n"), m)).alias("e"))
-        )
+    d = docs.select(*text_keys(F.col("text")), words(F.col("text")).alias("w"))
+    # explode_outer, because for explode the optimizer adds a filter that computes the array once more.
+    # The array is a column of its own, so that exploding and probing are compiled together and carry the
+    # words of a document by reference.
+    arrays = [_kept(F.col("w"), k, span), *(_all_grams(F.col("w"), m) for m in shorts)]
+    exploded = [
+        d.withColumn("a", a).select("k1", "k2", F.size("w").alias("n"), "w", F.explode_outer("a").alias("e")) for a in arrays
+    ]
     p = F.col("p")
     found = []
     for block in range(blocks):
-        part = grams.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block)
+        part = grams.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block) if blocks > 1 else grams
         for rows in exploded:
             near = rows.select("k1", "k2", "n", "w", F.shiftright("e", _PLACE_BITS).alias("key"), _place(F.col("e")).alias("p")).join(
                 F.broadcast(part), "key"
@@ -146,7 +165,7 @@ def _judged(docs: DataFrame, benchmark: DataFrame, k: int, span: int, one_in: in
     return saved(counts.join(items, ["k1", "k2"]).select("k1", "k2", "n_hit", "items", contaminated.alias("contaminated")))
 
 
-def decontamination(docs: DataFrame, benchmark: DataFrame, k: int = 4, span: int = 13, one_in: int = 20) -> DataFrame:
+def decontamination(docs: DataFrame, benchmark: DataFrame, k: int = 6, span: int = 13, one_in: int = 20) -> DataFrame:
     """One row per row of `docs`: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A word is hit inside any occurrence of a window of `span` words of an item; an item of fewer words,
@@ -167,7 +186,7 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, k: int = 4, span: int
     )
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, k: int = 4, span: int = 13, one_in: int = 20) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, k: int = 6, span: int = 13, one_in: int = 20) -> DataFrame:
     """The rows of `docs` that are not contaminated, with all their columns; cases as in `decontamination`."""
     bad = _judged(docs, benchmark, k, span, one_in).filter("contaminated").select(F.struct("k1", "k2").alias("_text_key"))
     kept = docs.withColumn("_text_key", F.struct(*text_keys(F.col("text"))))
