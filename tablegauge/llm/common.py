@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 import zipfile
@@ -59,18 +58,3 @@ def text_keys(text: Column) -> list[Column]:
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-#: The same for str.translate.
-ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-
-#: White space for str.split() that is none for the word rule [^\x20\x09-\x0D]+ (fixed values).
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_WORD = re.compile("[^\x20\x09-\x0D]+")
-
-
-def split_words(text: str | None) -> list[str]:
-    """Words [^\\x20\\x09-\\x0D]+ of a text; a null text has none."""
-    if not text:
-        return []
-    return _WORD.findall(text) if _OTHER_SPACE.search(text) else text.split()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tablegauge.llm import training_order as order
-from tablegauge.llm import vector_packing, winnowing
+from tablegauge.llm import bbit_minhash, vector_packing, winnowing
 from tablegauge.llm.common import load, ship_package
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -19,6 +19,12 @@ def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.training_order(load(spark, sf_dir, "documents"), RANKS, key=0x5EED)
 
 
+def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    found = bbit_minhash.near_duplicates(load(spark, sf_dir, "documents"), words=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return vector_packing.pack(load(spark, sf_dir, "documents"), RANKS)
@@ -29,7 +35,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_training_order, op5_vector_best_fit, op10_winnowing)
+    f.__name__: f for f in (op1_training_order, op4_bbit_minhash, op5_vector_best_fit, op10_winnowing)
 }
 
 ORACLE_SQL: dict[str, str] = {}
