@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablegauge.llm import training_order as order
-from tablegauge.llm import bbit_minhash, vector_packing, winnowing
+from tablegauge.llm import bbit_minhash, recompression, vector_packing, winnowing
 from tablegauge.llm.common import load, ship_package
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -30,12 +31,18 @@ def op5_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_packing.pack(load(spark, sf_dir, "documents"), RANKS)
 
 
+def op6_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    kept = recompression.repeated_passages_removed(load(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.decontamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_training_order, op4_bbit_minhash, op5_vector_best_fit, op10_winnowing)
+    f.__name__: f for f in (op1_training_order, op4_bbit_minhash, op5_vector_best_fit, op6_recompression, op10_winnowing)
 }
 
 ORACLE_SQL: dict[str, str] = {}
