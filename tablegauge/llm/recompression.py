@@ -104,19 +104,24 @@ class Parser:
         p = np.arange(n_windows)
         first = np.searchsorted(starts, p + self.margin)
         last = np.searchsorted(ends, p + self.window - self.margin, side="right")  # exclusive
-        # Least name in names[first:last], from tables of the least of 2**k neighbours.
-        span = (last - first).astype(np.int64)
-        level = np.frexp(span.astype(float))[1] - 1
-        self.anchors = np.empty(n_windows, dtype=_U)
-        table, least = 0, _mix(names)
+        # The leftmost least name in names[first:last], by ranks, from tables of the least of 2**k neighbours.
+        least = _mix(names)
+        order = np.argsort(least, kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        level = np.frexp((last - first).astype(float))[1] - 1
+        best = np.empty(n_windows, dtype=np.int64)
+        table = 0
         for k in range(int(level.max()) + 1):
             while table < k:
-                step = 1 << table
-                least = np.minimum(least[:-step], least[step:]) if len(least) > step else least
+                rank = np.minimum(rank[: -(1 << table)], rank[1 << table :])
                 table += 1
             here = level == k
-            self.anchors[here] = np.minimum(least[first[here]], least[last[here] - (1 << k)])
-        cut = np.flatnonzero(self.anchors[1:] != self.anchors[:-1]) + 1
+            best[here] = np.minimum(rank[first[here]], rank[last[here] - (1 << k)])
+        chosen = order[best]
+        self.anchors = least[chosen]
+        # By symbol, not by name: equal windows then never share a stretch.
+        cut = np.flatnonzero(chosen[1:] != chosen[:-1]) + 1
         self.lo = np.concatenate([[0], cut])
         self.hi = np.concatenate([cut - 1, [n_windows - 1]])
         self._grow(len(words) + 1)
