@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegauge.llm import training_order as order
-from tablegauge.llm import bbit_minhash, recompression, vector_packing, winnowing
+from tablegauge.llm import bbit_minhash, disclosure, recompression, toxicity, vector_packing, winnowing
 from tablegauge.llm.common import load, ship_package
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -20,6 +20,11 @@ def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.training_order(load(spark, sf_dir, "documents"), RANKS, key=0x5EED)
 
 
+def op2_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     found = bbit_minhash.near_duplicates(load(spark, sf_dir, "documents"), words=2)
@@ -37,12 +42,26 @@ def op6_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return disclosure.personal_data(load(spark, sf_dir, "documents"))
+
+
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.decontamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_training_order, op4_bbit_minhash, op5_vector_best_fit, op6_recompression, op10_winnowing)
+    f.__name__: f
+    for f in (
+        op1_training_order,
+        op2_ftrl,
+        op4_bbit_minhash,
+        op5_vector_best_fit,
+        op6_recompression,
+        op9_disclosure,
+        op10_winnowing,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
