@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegauge.llm import training_order as order
-from tablegauge.llm import bbit_minhash, disclosure, recompression, toxicity, vector_packing, winnowing
+from tablegauge.llm import bbit_minhash, disclosure, html_mincut, recompression, toxicity, vector_packing, winnowing
 from tablegauge.llm.common import load, ship_package
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -25,6 +25,11 @@ def op2_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op3_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return html_mincut.extracted(load(spark, sf_dir, "pages"))
+
+
 def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     found = bbit_minhash.near_duplicates(load(spark, sf_dir, "documents"), words=2)
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_training_order,
         op2_ftrl,
+        op3_mincut,
         op4_bbit_minhash,
         op5_vector_best_fit,
         op6_recompression,
