@@ -9,7 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegauge.llm import training_order as order
-from tablegauge.llm import bbit_minhash, disclosure, html_mincut, recompression, toxicity, vector_packing, winnowing
+from tablegauge.llm import (
+    bbit_minhash,
+    disclosure,
+    html_mincut,
+    kd_search,
+    recompression,
+    toxicity,
+    url_bloom,
+    vector_packing,
+    winnowing,
+)
 from tablegauge.llm.common import load, ship_package
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -47,6 +57,30 @@ def op6_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_kd_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    vectors = load(spark, sf_dir, "embeddings")
+    return kd_search.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256)
+
+
+#: The rules of the query, and words in the name of a host that put the URLs on it on the list.
+URL_RULES = (
+    url_bloom.Rule("com", "/", "allow"),
+    url_bloom.Rule("example.com", "/en/", "block"),
+    url_bloom.Rule("www.example.com", "/en/", "allow"),
+    url_bloom.Rule("net", "/es/", "block"),
+    url_bloom.Rule("net", "/fr/", "block"),
+)
+LISTED_HOSTS = r"(^|[.-])(spam|pills|casino|bets|ads)[.-]"
+
+
+def op8_url_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages")
+    # The list grows with the corpus: every URL seen on a host of such a name.
+    listed = url_bloom.host_and_path(pages.select("url")).filter(F.col("host").rlike(LISTED_HOSTS)).select("url")
+    return url_bloom.judged(pages, listed, URL_RULES)
+
+
 def op9_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return disclosure.personal_data(load(spark, sf_dir, "documents"))
@@ -65,6 +99,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_bbit_minhash,
         op5_vector_best_fit,
         op6_recompression,
+        op7_kd_trees,
+        op8_url_bloom,
         op9_disclosure,
         op10_winnowing,
     )
