@@ -6,9 +6,10 @@
 3. In a bucket, members are compared with one leader: the member that meets most others over all its
    buckets, which in a family of copies is the one they stem from. Bit counts of the signatures,
    corrected for chance collisions of 4-bit values, drop far pairs; full sets decide the rest.
-4. Links join classes into components. Buckets that still hold several components are then compared
-   across components, so no link is lost that could join two. Of a bucket with many such members only
-   pairs that share a second band are compared, which near pairs do (at 0.8 all but one in a million).
+4. Links join classes into components. Members of buckets that still hold several components are then
+   joined exactly, so no link is lost that could join two: similar sets share one of their rarest
+   shingles (prefix filter), at places that leave room for enough others (positional filter). In a large
+   family of copies the rare shingles are each copy's own, so far copies meet nobody.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -26,8 +27,6 @@ from tablegauge.llm.common import saved, text_keys
 _U = np.uint64
 #: One bit in each 4-bit field of a signed 64-bit number.
 _FIELDS = 0x1111111111111111
-#: Members of different components in one bucket beyond which a second band must be shared too.
-SECOND_BAND_FROM = 256
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -145,6 +144,14 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
+def _texts(classes: DataFrame, docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """cls and raw (the text of its first document) for the column `cls` of `wanted`. Written."""
+    needed = saved(classes.join(wanted.distinct(), "cls").select("cls", "doc_id", "k1", "k2"))
+    source = docs.select("doc_id", *text_keys(F.col("text")), F.col("text").cast("binary").alias("raw"))
+    same = [source["doc_id"].eqNullSafe(needed["doc_id"]), source["k1"] == needed["k1"], source["k2"] == needed["k2"]]
+    return saved(source.join(needed, same).select("cls", "raw").dropDuplicates(["cls"]))
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, n_minima: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough."""
     at = lambda side: classes.select(F.col("cls").alias(side), F.col("sig").alias(f"sig_{side}"), F.col("n").alias(f"n_{side}"))
@@ -153,11 +160,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int
     near = near.filter(F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
     near = near.filter(estimate(F.col("sig_a"), F.col("sig_b"), n_minima) >= percent / 100 - 0.2)
     near = saved(near.select("a", "b"))
-    needed = near.select(F.col("a").alias("cls")).union(near.select("b")).distinct()
-    needed = saved(classes.join(needed, "cls").select("cls", "doc_id", "k1", "k2"))
-    source = docs.select("doc_id", *text_keys(F.col("text")), F.col("text").cast("binary").alias("raw"))
-    same = [source[c].eqNullSafe(needed[c]) if c == "doc_id" else source[c] == needed[c] for c in ("doc_id", "k1", "k2")]
-    texts = saved(source.join(needed, same).select("cls", "raw").dropDuplicates(["cls"]))
+    texts = _texts(classes, docs, near.select(F.col("a").alias("cls")).union(near.select("b")))
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, last, ours = Shingles(words), None, None
@@ -191,21 +194,47 @@ def _links(classes: DataFrame, docs: DataFrame, words: int, percent: int, n_mini
     roots = components(links)
     apart = led.select("bucket", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     apart = apart.select("bucket", "cls", F.coalesce("root", "cls").alias("root"))
-    mixed = apart.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"))
-    apart = saved(apart.join(saved(mixed.filter("lo < hi").select("bucket", "size")), "bucket"))
+    mixed = apart.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    apart = apart.join(saved(mixed.select("bucket")), "bucket").join(classes.select("cls", "n"), "cls")
+    # Of each class, the size of the smallest set that it shares a bucket with.
+    least = saved(apart.groupBy("bucket").agg(F.min("n").alias("least")))
+    apart = saved(apart.join(least, "bucket").groupBy("cls", "root", "n").agg(F.min("least").alias("least")))
     if apart.isEmpty():
         return links
-    small = apart.filter(F.col("size") <= SECOND_BAND_FROM).select("bucket", "cls", "root")
-    large = apart.filter(F.col("size") > SECOND_BAND_FROM).select("bucket", "cls", "root")
-    second = members.select("cls", F.col("bucket").alias("other"))
-    large = large.join(second, "cls").filter("bucket <> other").select(F.xxhash64("bucket", "other").alias("bucket"), "cls", "root")
-    apart = saved(small.union(large))
-    right = apart.select("bucket", F.col("cls").alias("c2"), F.col("root").alias("r2"))
-    pairs = apart.join(right, "bucket").filter("root < r2")
-    pairs = pairs.select(F.least("cls", "c2").alias("a"), F.greatest("cls", "c2").alias("b")).distinct()
+    pairs = _prefix_pairs(apart, _texts(classes, docs, apart.select("cls")), words, percent)
     return links.union(_confirmed(pairs, classes, docs, words, percent, n_minima))
 
 
+def _prefix_pairs(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of `members` (cls, root, n, least) of different roots that may reach the similarity.
+
+    Sets x and y that do share at least percent / (100 + percent) * (|x| + |y|) shingles. In an order by
+    frequency, the first one they share is then so early that this many can still follow in both.
+    """
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(words)
+        for batch in batches:
+            found = [shingles.of(raw.as_py()) for raw in batch.column("raw")]
+            row = np.repeat(np.arange(len(found)), [len(x) for x in found])
+            token = np.concatenate(found).astype(np.int64) if found else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("cls").take(pa.array(row)), pa.array(token)], names=["cls", "token"])
+
+    tokens = saved(texts.mapInArrow(shingle, "cls long, token long"))
+    counts = saved(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"))
+    ranked = tokens.join(counts, "token", "left").join(members, "cls")
+    by_rarity = Window.partitionBy("cls").orderBy(F.coalesce("df", F.lit(1)), "token")
+    ranked = ranked.withColumn("at", F.row_number().over(by_rarity))
+    needed = lambda n, m: F.ceil(F.lit(percent) * (n + m) / F.lit(100.0 + percent) - 1e-9)
+    smallest = F.greatest("least", F.ceil(F.lit(percent / 100) * F.col("n") - 1e-9))
+    prefix = ranked.filter("df > 1").filter(F.col("at") <= F.col("n") - needed(F.col("n"), smallest) + 1)
+    prefix = saved(prefix.select("token", "cls", "root", "n", "at"))
+    other = prefix.select("token", *(F.col(c).alias(f"{c}2") for c in ("cls", "root", "n", "at")))
+    room = F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2")) + 1
+    met = prefix.join(other, "token").filter("root < root2").filter(room >= needed(F.col("n"), F.col("n2")))
+    return met.select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 32, rows: int = 4) -> DataFrame:
     """One row per row of `docs`: doc_id, k1, k2 (name its text), n_shingles, component_id, kept.
 

@@ -48,9 +48,8 @@ def test_one_row_of_each_group_stays(docs):
     assert ids == sorted(d for d, e in expected.items() if e[1] == d)
 
 
-def test_near_duplicates_of_a_family_without_a_common_leader(spark, monkeypatch):
-    """Copies that differ among themselves more than from their origin, with the second band forced."""
-    monkeypatch.setattr(bbit_minhash, "SECOND_BAND_FROM", 3)
+def test_near_duplicates_of_a_family_without_a_common_leader(spark):
+    """Copies that differ among themselves more than from their origin, and chains of small changes."""
     base = [f"w{i}" for i in range(120)]
     rows = [(0, " ".join(base))]
     for i in range(1, 40):
