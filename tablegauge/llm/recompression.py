@@ -10,8 +10,9 @@ A window's anchor is the least name of the symbols inside it, so equal windows h
 neighbouring windows mostly share one: a stretch. Spark counts anchors over the corpus:
 
 * an anchor that occurs once reveals nothing, and its windows are unique;
-* if all stretches of an anchor have equal words, all of their windows repeat;
-* else the windows of these stretches are compared one by one, by the hash of their words.
+* stretches of equal words repeat as a whole, with all of their windows;
+* of the stretches whose words occur once, but whose anchor occurs again, the windows are compared one by
+  one, by the hash of their words, with each other and with one stretch of each repeated content.
 """
 
 from __future__ import annotations
@@ -133,7 +134,7 @@ class Parser:
 
 
 def _stretches(docs: DataFrame, window: int) -> DataFrame:
-    """k1, k2 (name a text), stretch (number in the text), anchor, digest (of the stretch's words)."""
+    """doc_id, k1, k2 (name a text), stretch (number in the text), anchor, digest (of the stretch's words)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser(window)
@@ -149,13 +150,15 @@ def _stretches(docs: DataFrame, window: int) -> DataFrame:
             if row:
                 row = pa.array(np.concatenate(row))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("k1").take(row), batch.column("k2").take(row), pa.array(np.concatenate(number).astype(np.int32))]
+                    [batch.column(c).take(row) for c in ("doc_id", "k1", "k2")]
+                    + [pa.array(np.concatenate(number).astype(np.int32))]
                     + [pa.array(np.concatenate(x).astype(np.int64)) for x in (anchor, digest)],
-                    names=["k1", "k2", "stretch", "anchor", "digest"],
+                    names=["doc_id", "k1", "k2", "stretch", "anchor", "digest"],
                 )
 
-    raw = docs.select(*text_keys(F.col("text")), F.col("text").cast("binary").alias("raw"))
-    return raw.mapInArrow(emit, "k1 long, k2 long, stretch int, anchor long, digest long")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    raw = docs.select("doc_id", *text_keys(F.col("text")), F.col("text").cast("binary").alias("raw"))
+    return raw.mapInArrow(emit, f"doc_id {kind}, k1 long, k2 long, stretch int, anchor long, digest long")
 
 
 def repeated_passages_removed(docs: DataFrame, window: int = 35) -> DataFrame:
@@ -172,7 +175,10 @@ def repeated_passages_removed(docs: DataFrame, window: int = 35) -> DataFrame:
     )
     # Written, so that the join has a plain exchange on either side, which adaptive execution can split.
     repeated = saved(occurring.filter("n > 1").select("anchor", (F.col("lo") < F.col("hi")).alias("differ")))
-    found = saved(_stretches(docs, window).drop("digest").join(repeated, "anchor").select("k1", "k2", "stretch", "differ").distinct())
+    found = saved(_stretches(docs, window).join(repeated, "anchor"))
+    # Of equal stretches under an anchor that has others too, one stands for all.
+    one = F.min(F.struct("k1", "k2", "doc_id", "stretch")).alias("one")
+    contents = saved(found.filter("differ").groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("n"), one))
 
     # Texts move once: the exchange below serves both joins. Copies of a text are spread by a salt.
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt")
@@ -201,14 +207,17 @@ def repeated_passages_removed(docs: DataFrame, window: int = 35) -> DataFrame:
                     names=["k1", "k2", "place", "digest"],
                 )
 
-    opened = found.filter("differ").groupBy("k1", "k2").agg(F.collect_list("stretch").alias("open"))
-    listed = texts.join(salted(opened), keys).select("doc_id", "k1", "k2", "raw", "open")
-    one_by_one = listed.mapInArrow(windows, "k1 long, k2 long, place int, digest long")
-    # Copies of a text give equal rows, which are combined, with their number, before they move.
-    one_by_one = one_by_one.groupBy("k1", "k2", "place", "digest").agg(F.count(F.lit(1)).alias("copies"))
-    times = F.sum("copies").over(Window.partitionBy("digest"))
+    opened = contents.select("one.*").groupBy("k1", "k2", "doc_id").agg(F.collect_list("stretch").alias("open"))
+    opened = salted(opened).withColumnRenamed("doc_id", "owner")
+    listed = texts.join(opened, keys).filter(F.col("doc_id").eqNullSafe(F.col("owner"))).select("doc_id", "k1", "k2", "raw", "open")
+    # Windows of one stretch are never equal, and of repeated rows one counts.
+    one_by_one = listed.mapInArrow(windows, "k1 long, k2 long, place int, digest long").distinct()
+    times = F.count(F.lit(1)).over(Window.partitionBy("digest"))
     again = one_by_one.withColumn("times", times).filter("times > 1").select("k1", "k2", (2 * F.col("place") + 1).alias("code"))
-    whole = found.filter("NOT differ").select("k1", "k2", (2 * F.col("stretch")).alias("code"))
+    twice = saved(contents.filter("n > 1").select("anchor", "digest"))
+    alike = found.filter("differ").join(twice, ["anchor", "digest"]).select("k1", "k2", "stretch")
+    whole = alike.union(found.filter("NOT differ").select("k1", "k2", "stretch")).distinct()
+    whole = whole.select("k1", "k2", (2 * F.col("stretch")).alias("code"))
     codes = whole.union(again).groupBy("k1", "k2").agg(F.collect_list("code").alias("codes"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
