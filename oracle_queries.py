@@ -209,6 +209,15 @@ def _long(table: str, label: str, checks: dict[str, str], by: str = "decision_id
  ON COLUMNS(* EXCLUDE decision_id) INTO NAME check_name VALUE check_value)"""
 
 
+def _each(table: str, label: str, checks: dict[str, str], by: str = "decision_id") -> str:
+    """The same, a SELECT for each check: for names that are no column names."""
+    return "\nUNION ALL ".join(
+        f"SELECT {by} AS decision_id, '{label}' AS table_name, '{name}' AS check_name, "
+        f"CAST({sql} AS DOUBLE) AS check_value FROM {table} GROUP BY {by}"
+        for name, sql in checks.items()
+    )
+
+
 _OPEN = "WHERE effective_end_date IS NULL"
 _SUMMARIES = {
     "spine": _long("person_spine", "PERSON_SPINE", _SPINE_CHECKS),
@@ -420,7 +429,9 @@ _BY_PART = _audit(
 )
 
 _LABELLED = "(SELECT * FROM documents LEFT JOIN labels USING (doc_id))"
-_UNKNOWN_PART = "l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 40)"
+_KNOWN = "SELECT p_partkey + 100 FROM part"
+_UNKNOWN_PART = f"l_partkey NOT IN ({_KNOWN})"
+_UNKNOWN_OR_NULL = f"l_partkey NOT IN ({_KNOWN} WHERE p_partkey % 7 <> 0)"
 
 _KINDS = {
     "check_not_null": _long(
@@ -449,6 +460,18 @@ _KINDS = {
         {"PART_EXISTS": _n(_UNKNOWN_PART), "PART_EXISTS_NULL_AWARE": _n(_UNKNOWN_PART)},
         by="l_returnflag",
     ),
+    "check_foreign_key_null": _long(
+        "lineitem",
+        "LINEITEM",
+        {"PART_EXISTS": _n(_UNKNOWN_OR_NULL), "PART_EXISTS_NULL_AWARE": "0 * count(*)"},
+        by="l_returnflag",
+    ),
+    "check_foreign_key_by_order": _long(
+        "lineitem",
+        "LINEITEM",
+        {"PART_EXISTS": _n(_UNKNOWN_PART), "PART_EXISTS_NULL_AWARE": _n(_UNKNOWN_PART)},
+        by="CAST(l_orderkey AS VARCHAR)",
+    ),
     "check_ordered": _long(
         "lineitem",
         "LINEITEM",
@@ -476,12 +499,15 @@ _KINDS = {
         },
         by="lang",
     ),
-    "check_count_where": _long(
+    "check_count_where": _each(
         "orders",
         "ORDERS",
         {
             "THR_LARGE": _n("o_totalprice > 300000"),
             "THR_LARGE_FILLED": _n("o_orderstatus = 'F' AND o_totalprice > 300000"),
+            "orders.o_custkey `even`": _n("o_custkey % 2 = 0"),
+            "thr_large": _n("o_totalprice > 200000"),
+            "decision_id": _n("o_orderkey % 3 = 0"),
         },
         by="o_orderpriority",
     ),

@@ -96,6 +96,8 @@ class Suite:
     by: str = "decision_id"
 
     def __post_init__(self) -> None:
+        if not self.checks:
+            raise ValueError(f"the suite of {self.table_name} has no checks")
         names = [check.name for check in self.checks + self.metadata]
         repeated = {name for name in names if names.count(name) > 1}
         if repeated:

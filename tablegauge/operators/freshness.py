@@ -35,7 +35,7 @@ def _summary_rows(
     wide: DataFrame, table_name: str, as_of_ts: datetime, keep_null_metrics: bool
 ) -> DataFrame:
     ids = ["decision_id", "run_id"]
-    metrics = [c for c in wide.columns if c not in ids]
+    metrics = {c: c for c in wide.columns if c not in ids}
     text = wide.select(*ids, *[F.col(c).cast("string").alias(c) for c in metrics])
     return metric_rows(text, ids, metrics, "rule_name", "actual_value", keep_null_metrics).select(
         *ids,

@@ -22,35 +22,50 @@ def reference_keys(reference: DataFrame, column: str) -> DataFrame:
     return keys.filter(F.col("_reference_key").isNotNull()).distinct()
 
 
-def _orphans(df: DataFrame, by: str, orphan: OrphanCount, name: str) -> DataFrame:
-    """Orphaned rows per decision.
+def thinned_keys(reference: DataFrame, column: str) -> DataFrame:
+    """Non-NULL reference keys, each at most once per partition of the reference.
+
+    Enough to take the weight out of a hot key. A plain distinct would go further, but its final
+    aggregate sits between shuffle and join, where adaptive execution no longer splits skew.
+    """
+    keys = reference.select(F.col(column).alias("_reference_key"))
+    return (
+        keys.filter(F.col("_reference_key").isNotNull())
+        .withColumn("_partition", F.spark_partition_id())
+        .distinct()
+        .select("_reference_key")
+    )
 
-    Rows are counted per key before they move, so a key that holds a third of the table reaches
-    the join as one row per decision. It is a left join on purpose: an anti join is pushed below
-    the count as soon as the reference looks small enough to broadcast, and if it then turns out
-    larger, all rows of the hot key are shuffled to one task. The left side holds a key
-    once per decision and the right side once, so a merge join is cheap; a broadcast would rest
-    on a guess from compressed file sizes.
 
-    A literal `NOT IN` would compare every row with every key; whether the reference holds a NULL
-    is asked once instead, as a scalar subquery.
+def _orphans(df: DataFrame, by: str, orphan: OrphanCount, name: str) -> DataFrame:
+    """Orphaned rows per decision; decisions without any are left out.
+
+    Rows are counted per key before they move, so a key that holds a third of the table reaches the
+    join as one row per decision. With decisions as fine as the rows it still is a hot key there;
+    both sides of the anti join are plain exchanges, so adaptive execution splits it. The filter
+    on the partition is always true. It is there because the optimizer pushes an anti join below
+    the count as soon as the reference looks small enough to broadcast, and if that turns out wrong,
+    all rows of a hot key are shuffled to one task; it pushes nothing below an expression that is not
+    deterministic.
     """
     key = as_column(orphan.column)
     rows = df.filter(within(orphan.scope, key.isNotNull()))
-    if orphan.mode == "null_aware":
-        rows = rows.filter(
-            ~orphan.reference.filter(F.col(orphan.reference_column).isNull()).exists()
-        )
     per_key = rows.groupBy(by, key.alias("_key")).agg(F.count("*").alias("_rows"))
-    known = reference_keys(orphan.reference, orphan.reference_column)
-    unknown_rows = F.when(F.col("_reference_key").isNull(), F.col("_rows")).otherwise(0)
+    per_key = per_key.filter(F.spark_partition_id() >= 0)
+    known = thinned_keys(orphan.reference, orphan.reference_column).hint("merge")
     return (
-        per_key.join(known.hint("merge"), F.col("_key") == F.col("_reference_key"), "left")
+        per_key.join(known, F.col("_key") == F.col("_reference_key"), "left_anti")
         .groupBy(by)
-        .agg(F.sum(unknown_rows).alias(name))
+        .agg(F.sum("_rows").alias(name))
     )
 
 
+def _holds_null(orphan: OrphanCount) -> bool:
+    """Whether the reference has a NULL: a job that stops at the first one."""
+    column = F.col(orphan.reference_column)
+    return not orphan.reference.select(column).filter(column.isNull()).isEmpty()
+
+
 def measure(df: DataFrame, by: str, measures: dict[Measure, str]) -> DataFrame:
     """One row per decision with a column per measure.
 
@@ -60,13 +75,26 @@ def measure(df: DataFrame, by: str, measures: dict[Measure, str]) -> DataFrame:
     key columns only. Computing a distinct count next to the row counts would instead drag every
     counter through the shuffle of the keys. The branches meet in a union that is already
     partitioned by decision, which also keeps the NULL decision together.
+
+    For a null-aware foreign key a job runs at once, which asks for a NULL in the reference (once for
+    all such checks on one reference). If there is one, no row can be an orphan and neither table is
+    read for it.
     """
     counts = [m.aggregate().alias(name) for m, name in measures.items() if isinstance(m, RowCount)]
     branches = [
         df.groupBy(by).agg(*counts[i : i + COUNTS_PER_AGGREGATE])
         for i in range(0, len(counts), COUNTS_PER_AGGREGATE)
     ]
+    nulls: dict[tuple[int, str], bool] = {}
+    zero = []
     for m, name in measures.items():
+        if isinstance(m, OrphanCount) and m.mode == "null_aware":
+            reference = (id(m.reference), m.reference_column)
+            if reference not in nulls:
+                nulls[reference] = _holds_null(m)
+            if nulls[reference]:
+                zero.append(name)
+                continue
         if isinstance(m, DistinctCount):
             branches.append(df.groupBy(by).agg(m.aggregate().alias(name)))
         elif isinstance(m, OrphanCount):
@@ -74,29 +102,41 @@ def measure(df: DataFrame, by: str, measures: dict[Measure, str]) -> DataFrame:
     if not any(isinstance(m, RowCount | DistinctCount) for m in measures):
         # Orphan branches leave out decisions without keys; this one brings them back with a zero.
         branches.append(df.groupBy(by).agg(F.count("*").alias("_volume")))
+    zeros = [F.lit(0).cast("bigint").alias(name) for name in zero]
     if len(branches) == 1:
-        return branches[0]
+        return branches[0].select("*", *zeros)
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
-    return stacked.groupBy(by).agg(
-        *[F.coalesce(F.max(name), F.lit(0)).alias(name) for name in measures.values()]
+    found = [name for name in measures.values() if name not in zero]
+    return (
+        stacked.groupBy(by)
+        .agg(*[F.coalesce(F.max(name), F.lit(0)).alias(name) for name in found])
+        .select("*", *zeros)
     )
 
 
 def _value(check: Check, names: dict[Measure, str]) -> Column:
     columns = {role: F.col(names[m]) for role, m in check.measures.items()}
-    return check.formula(**columns).cast("double").alias(check.name)
+    return check.formula(**columns).cast("double")
 
 
 def metric_rows(
     wide: DataFrame,
     ids: list[str],
-    metrics: Iterable[str],
+    metrics: dict[str, str],
     name_column: str,
     value_column: str,
     keep_null_metrics: bool,
 ) -> DataFrame:
-    """Turn metric columns into rows. A NULL metric yields no row unless asked for."""
-    rows = wide.unpivot(ids, list(metrics), name_column, value_column)
+    """Turn metric columns into rows. A NULL metric yields no row unless asked for.
+
+    `metrics` gives the column of each metric name. Names go into rows as literals and never name a
+    column, so any text will do.
+    """
+    pairs = [
+        F.struct(F.lit(name).alias(name_column), F.col(column).alias(value_column))
+        for name, column in metrics.items()
+    ]
+    rows = wide.select(*ids, F.inline(F.array(*pairs)))
     return rows if keep_null_metrics else rows.filter(F.col(value_column).isNotNull())
 
 
@@ -115,16 +155,13 @@ def dq_summary(
     names = {m: f"_m{i}" for i, m in enumerate(distinct_measures)}
 
     base = df if suite.scope is None else df.filter(suite.scope)
+    columns = {check.name: f"_v{i}" for i, check in enumerate(checks)}
     wide = measure(base, suite.by, names).select(
-        F.col(suite.by).cast("string").alias("decision_id"), *[_value(check, names) for check in checks]
+        F.col(suite.by).cast("string").alias("decision_id"),
+        *[_value(check, names).alias(columns[check.name]) for check in checks],
     )
     rows = metric_rows(
-        wide,
-        ["decision_id"],
-        [check.name for check in checks],
-        "check_name",
-        "check_value",
-        keep_null_metrics,
+        wide, ["decision_id"], columns, "check_name", "check_value", keep_null_metrics
     )
     return rows.select(
         "decision_id", F.lit(suite.table_name).alias("table_name"), "check_name", "check_value"

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from tablegauge import schemas
+from tablegauge.operators.checks import Suite
 from tablegauge.operators.config import (
     FreshnessRuleChange,
     ThresholdChange,
@@ -92,7 +93,7 @@ def freshness_audit_all(tables: ProfiledTables, rules: DataFrame, as_of_ts: date
 
 @dataclass(frozen=True)
 class Store:
-    """Where config versions and audit rows live. Any path Spark can read will do."""
+    """Where config versions and audit rows live: paths that Spark can read, or catalog tables."""
 
     thresholds: str
     freshness_rules: str
@@ -104,6 +105,12 @@ class Store:
         names = ("dq_thresholds", "freshness_rules", "dq_audit", "freshness_audit")
         return cls(*[f"{root}/{name}" for name in names])
 
+    @classmethod
+    def in_catalog(cls, schema: str) -> Store:
+        """Catalog tables of the usual names in `schema`, such as `catalog.db`."""
+        names = ("dq_thresholds", "freshness_rules", "dq_audit", "freshness_audit")
+        return cls(*[f"{schema}.{name}" for name in names])
+
     def install(self, spark: SparkSession, as_of_ts: datetime) -> None:
         """Write the initial thresholds and rules as version 1."""
         config_store.write_config(
@@ -145,6 +152,42 @@ class Store:
         config_store.write_config(changed, root, schema, version=version + 1)
 
 
+def record_audit(
+    df: DataFrame,
+    suite: Suite,
+    thresholds: DataFrame,
+    target: str,
+    as_of_ts: datetime,
+    *,
+    keys: Sequence[str] = TABLE_KEYS,
+) -> None:
+    """Audit one table under any suite and append the outcome to a path or catalog table.
+
+    A run that is recorded for this table already is refused (`RunRecorded`).
+    """
+    _record(dq_audit(dq_summary(df, suite), thresholds, as_of_ts, keys=keys), target)
+
+
+def record_freshness(
+    summary: DataFrame, rules: DataFrame, target: str, as_of_ts: datetime, *, grade: str = "exact"
+) -> None:
+    """Audit one freshness summary (of `run_freshness` or `lag_freshness`) and append the outcome.
+
+    A table and decision that is recorded at the same `checked_ts` already is refused.
+    """
+    _record_freshness(freshness_audit(summary, rules, as_of_ts, grade=grade), target)
+
+
+def _record(audit: DataFrame, target: str) -> None:
+    run = ["dq_run_id", "pipeline_name"]
+    audit_store.record_run(audit, target, schemas.DQ_AUDIT, run, "business_date")
+
+
+def _record_freshness(audit: DataFrame, target: str) -> None:
+    run = ["checked_ts", "target_table", "decision_id"]
+    audit_store.record_run(audit, target, schemas.FRESHNESS_AUDIT, run)
+
+
 def record_dq_audit(
     spark: SparkSession,
     tables: ProfiledTables,
@@ -153,16 +196,16 @@ def record_dq_audit(
     *,
     fk_mode: str = "null_aware",
 ) -> None:
-    """Audit all tables against the latest thresholds and append the outcome."""
+    """Audit all tables against the latest thresholds and append the outcome; once per run."""
     thresholds = config_store.read_config(spark, store.thresholds, schemas.THRESHOLDS)
     audit = dq_audit_all(tables, thresholds, as_of_ts, fk_mode=fk_mode)
-    audit_store.append_audit(audit, store.dq_audit, schemas.DQ_AUDIT, "business_date")
+    _record(audit, store.dq_audit)
 
 
 def record_freshness_audit(
     spark: SparkSession, tables: ProfiledTables, store: Store, as_of_ts: datetime
 ) -> None:
-    """Audit the freshness of all tables against the latest rules and append the outcome."""
+    """Audit the freshness of all tables against the latest rules and append it; once per run."""
     rules = config_store.read_config(spark, store.freshness_rules, schemas.FRESHNESS_RULES)
     audit = freshness_audit_all(tables, rules, as_of_ts)
-    audit_store.append_audit(audit, store.freshness_audit, schemas.FRESHNESS_AUDIT)
+    _record_freshness(audit, store.freshness_audit)

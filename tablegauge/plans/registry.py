@@ -371,16 +371,28 @@ def _unique(spark: SparkSession, sf_dir: str):
     )
 
 
-def _foreign_key(spark: SparkSession, sf_dir: str):
-    parts = star_table(spark, sf_dir, "part").filter("p_size <= 40")
+def _shifted_parts(spark: SparkSession, sf_dir: str, *, null: bool = False) -> DataFrame:
+    """All of part, its keys shifted so that some lines are orphans; one key in seven NULL if asked."""
+    key = F.col("p_partkey") + 100
+    if null:
+        key = F.when(F.col("p_partkey") % 7 != 0, key)
+    return star_table(spark, sf_dir, "part").select(key.alias("known_partkey"))
+
+
+def _foreign_key(spark: SparkSession, sf_dir: str, *, null: bool = False):
+    parts = _shifted_parts(spark, sf_dir, null=null)
     return star_table(spark, sf_dir, "lineitem"), (
-        foreign_key("PART_EXISTS", "l_partkey", parts, "p_partkey"),
+        foreign_key("PART_EXISTS", "l_partkey", parts, "known_partkey"),
         foreign_key(
-            "PART_EXISTS_NULL_AWARE", "l_partkey", parts, "p_partkey", mode="null_aware"
+            "PART_EXISTS_NULL_AWARE", "l_partkey", parts, "known_partkey", mode="null_aware"
         ),
     )
 
 
+def _foreign_key_null(spark: SparkSession, sf_dir: str):
+    return _foreign_key(spark, sf_dir, null=True)
+
+
 def _ordered(spark: SparkSession, sf_dir: str):
     return star_table(spark, sf_dir, "lineitem"), (
         ordered("LOG_DISCOUNT_LE_TAX", "l_discount", "l_tax"),
@@ -413,6 +425,10 @@ def _count_where(spark: SparkSession, sf_dir: str):
         count_where(
             "THR_LARGE_FILLED", F.col("o_totalprice") > 300000, scope=F.col("o_orderstatus") == "F"
         ),
+        # Any text names a check.
+        count_where("orders.o_custkey `even`", F.col("o_custkey") % 2 == 0),
+        count_where("thr_large", F.col("o_totalprice") > 200000),
+        count_where("decision_id", F.col("o_orderkey") % 3 == 0),
     )
 
 
@@ -479,6 +495,8 @@ QUERIES: dict[str, Query] = {
     "check_not_null": _kind("DOCUMENTS", "lang", _not_null),
     "check_unique": _kind("LINEITEM", "l_returnflag", _unique),
     "check_foreign_key": _kind("LINEITEM", "l_returnflag", _foreign_key),
+    "check_foreign_key_null": _kind("LINEITEM", "l_returnflag", _foreign_key_null),
+    "check_foreign_key_by_order": _kind("LINEITEM", "l_orderkey", _foreign_key),
     "check_ordered": _kind("LINEITEM", "l_linestatus", _ordered),
     "check_min_age": _kind("ORDERS", "o_orderpriority", _min_age),
     "check_required_when": _kind("DOCUMENTS", "source", _required_when),

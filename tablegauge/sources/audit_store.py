@@ -1,12 +1,22 @@
-"""Append-only audit tables."""
+"""Append-only audit tables, as files under a path or as catalog tables."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+class RunRecorded(ValueError):
+    """The audit holds rows of this run already."""
+
+
+def is_path(target: str) -> bool:
+    """Whether a target names files; any other is a catalog table (`db.schema.table`)."""
+    return "/" in target
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns, in its order and types; a NULL in a required column fails the job.
 
@@ -46,3 +56,32 @@ def create_audit_table(spark: SparkSession, name: str, schema: T.StructType) ->
 def append_audit_table(df: DataFrame, name: str, schema: T.StructType) -> None:
     """Append audit rows to a catalog table."""
     conform(df, schema).write.format("parquet").mode("append").saveAsTable(name)
+
+
+def record_run(
+    df: DataFrame,
+    target: str,
+    schema: T.StructType,
+    run: list[str],
+    partition_by: str | None = None,
+) -> None:
+    """Append the audit rows of a run to a path or catalog table, once.
+
+    `run` are the columns that name a run. If the audit holds a row of one of the runs already, nothing
+    is written and `RunRecorded` is raised, so a job that is run again does not double its audit. It is a
+    test before a write: writers of the same run at the same time are not kept apart.
+    """
+    spark = df.sparkSession
+    try:
+        held = read_audit(spark, target, schema) if is_path(target) else spark.table(target)
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            raise
+    else:
+        again = df.select(*run).distinct().join(held.select(*run), run, "left_semi").first()
+        if again is not None:
+            raise RunRecorded(f"{target} holds rows of {again.asDict()} already")
+    if is_path(target):
+        append_audit(df, target, schema, partition_by)
+    else:
+        append_audit_table(df, target, schema)

@@ -1,48 +1,105 @@
-"""Config tables on plain files, one directory per version.
+"""Config tables on plain files: every write of a version is whole or is not there.
 
 Parquet tables know no UPDATE, and a job must not overwrite what it reads. A change therefore
-writes the whole (small) table under the next version number; readers take the highest one.
+writes the whole (small) table under the next version number. Each row carries the id of its write
+and the number of rows of that write. Readers accept a write only when it has that many rows, so
+what a writer that died has left behind is never current. Of several whole writes of one version,
+the one with the smallest write id counts, for every reader; the other writers learn that they lost.
 """
 
 from __future__ import annotations
 
+import uuid
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegauge.sources.audit_store import conform
+from tablegauge.sources.audit_store import conform, is_path
+
+
+class Write(NamedTuple):
+    """A whole write of a version."""
+
+    version: int
+    write_id: str
+
+
+class VersionConflict(RuntimeError):
+    """Another writer has written the same version, and its write counts."""
+
+
+_MARKS = [T.StructField("row_count", T.LongType())]
+_PARTITIONS = [T.StructField("version", T.LongType()), T.StructField("write_id", T.StringType())]
+
+
+def _writes(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    if not is_path(target):
+        return spark.table(target)
+    return spark.read.schema(T.StructType([*schema, *_MARKS, *_PARTITIONS])).parquet(target)
 
 
-def _versions(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(
-        T.StructType([*schema, T.StructField("version", T.LongType())])
-    ).parquet(root)
+def _winner(writes: DataFrame, version: int | None = None) -> Write | None:
+    """The write that counts for a version, the highest whole one by default. Runs one small job."""
+    if version is not None:
+        writes = writes.filter(F.col("version") == version)
+    whole = (
+        writes.groupBy("version", "write_id")
+        .agg(F.count("*").alias("rows"), F.min("row_count").alias("row_count"))
+        .filter("rows = row_count")
+    )
+    first = whole.orderBy(F.desc("version"), "write_id").select("version", "write_id").first()
+    return None if first is None else Write(*first)
 
 
-def latest_version(spark: SparkSession, root: str, schema: T.StructType) -> int:
-    return _versions(spark, root, schema).agg(F.max("version")).first()[0]
+def latest_version(spark: SparkSession, target: str, schema: T.StructType) -> int:
+    """The highest version with a whole write."""
+    found = _winner(_writes(spark, target, schema))
+    if found is None:
+        raise ValueError(f"{target} holds no whole version of a config table")
+    return found.version
 
 
 def read_config(
-    spark: SparkSession, root: str, schema: T.StructType, version: int | None = None
+    spark: SparkSession, target: str, schema: T.StructType, version: int | None = None
 ) -> DataFrame:
-    """One version of a config table, the latest by default."""
-    if version is None:
-        version = latest_version(spark, root, schema)
-    return _versions(spark, root, schema).filter(F.col("version") == version).drop("version")
+    """One version of a config table, the latest whole one by default."""
+    writes = _writes(spark, target, schema)
+    found = _winner(writes, version)
+    if found is None:
+        wanted = "version" if version is None else f"version {version}"
+        raise ValueError(f"{target} holds no whole {wanted} of a config table")
+    mine = (F.col("version") == found.version) & (F.col("write_id") == found.write_id)
+    return writes.filter(mine).select(*schema.fieldNames())
 
 
 def write_config(
-    config: DataFrame, root: str, schema: T.StructType, version: int, unique_id: str | None = None
+    config: DataFrame, target: str, schema: T.StructType, version: int, unique_id: str | None = None
 ) -> None:
-    """Write a new version. It fails if the version exists, so of two writers one loses.
+    """Write a new version to a path or a catalog table.
 
-    Required columns are checked while writing. `unique_id` is checked first, as Spark has no
-    primary keys.
+    Raises `VersionConflict` if the version is there already, or if a write of another writer at the
+    same time counts. Required columns are checked while writing. `unique_id` is checked first, as
+    Spark has no primary keys. An empty config is refused: it could not be told from a missing one.
     """
+    spark = config.sparkSession
     rows = conform(config, schema)
     if unique_id is not None:
         repeated = rows.groupBy(unique_id).count().filter("count > 1").first()
         if repeated is not None:
             raise ValueError(f"{unique_id} {repeated[unique_id]} occurs {repeated['count']} times")
-    rows.write.mode("errorifexists").parquet(f"{root}/version={version}")
+    n_rows = rows.count()
+    if n_rows == 0:
+        raise ValueError(f"an empty config is not written to {target}")
+    mine = Write(version, uuid.uuid4().hex)
+    marked = rows.withColumn("row_count", F.lit(n_rows).cast("bigint"))
+    if is_path(target):
+        # A directory of its own: writers of one version do not meet.
+        marked.write.parquet(f"{target}/version={version}/write_id={mine.write_id}")
+    else:
+        marked = marked.withColumn("version", F.lit(version).cast("bigint"))
+        marked = marked.withColumn("write_id", F.lit(mine.write_id))
+        marked.write.format("parquet").mode("append").saveAsTable(target)
+    if _winner(_writes(spark, target, schema), version) != mine:
+        raise VersionConflict(f"version {version} of {target} is another writer's")

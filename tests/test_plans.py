@@ -5,7 +5,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from helpers import AS_OF, AS_OF_TS, keys_frame, plan_of
 from tablegauge import (
     DistinctCount,
@@ -18,7 +17,9 @@ from tablegauge import (
     orphan_rows,
     unique,
 )
+from tablegauge.operators.orphans import _fits_broadcast
 from tablegauge.plans import suites
+from tablegauge.plans.registry import QUERIES
 from tablegauge.sources.sample_tables import SampleTables
 from tablegauge.sources.seeds import seed_thresholds
 
@@ -61,10 +62,10 @@ def scans(plan):
 
 
 @pytest.mark.parametrize("broadcast", ["10MB", "-1"])
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_nested_loop_or_cross_join(spark, conf, name, broadcast):
     conf(autoBroadcastJoinThreshold=broadcast)
-    plan = plan_of(driver.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert "Python" not in plan and "Pandas" not in plan
     if broadcast == "-1" and name != "fk_orphan_rows":
@@ -97,17 +98,51 @@ def test_rows_are_counted_before_the_foreign_key_join(stored, conf, broadcast):
     suite = suites.person_identifier_xref(AS_OF, stored.spine, fk_mode="anti")
     plan = plan_of(dq_summary(stored.xref, suite))
     assert "BroadcastHashJoin" not in plan
-    join = re.search(r"SortMergeJoin[^\n]*LeftOuter", plan)
+    join = re.search(r"SortMergeJoin[^\n]*LeftAnti", plan)
     left = plan[join.end() :].split("_reference_key")[0]
     count = r"HashAggregate\(keys=\[decision_id#\d+, person_id#\d+\], functions=\[count"
     assert re.search(count, left)
 
 
-def test_scope_and_null_probe_reach_the_scan(stored):
+def test_a_null_in_the_reference_saves_both_scans(stored):
     suite = suites.person_identifier_xref(AS_OF, stored.spine)
     plan = plan_of(dq_summary(stored.xref, suite))
-    assert plan.count("IsNull(effective_end_date)") >= 3
-    assert "IsNull(person_id)" in plan and "CollectLimit 1" in plan
+    assert plan.count("IsNull(effective_end_date)") >= 2
+    # Row counts and the distinct count; nothing of the spine, no scan for the foreign key.
+    assert len(scans(plan)) == 2 and "Join" not in plan
+    clean = stored.spine.filter("person_id IS NOT NULL")
+    suite = suites.person_identifier_xref(AS_OF, clean)
+    assert len(scans(plan_of(dq_summary(stored.xref, suite)))) == 4
+
+
+def test_hot_key_among_many_decisions_is_split(spark, conf, tmp_path):
+    conf(
+        adaptive__advisoryPartitionSizeInBytes="64KB",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="128KB",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+    )
+    path = str(tmp_path / "rows")
+    spark.range(120_000).selectExpr(
+        "sha2(CAST(id AS STRING), 256) AS decision_id",
+        "CASE WHEN id % 2 = 0 THEN 'hot' ELSE CAST(id AS STRING) END AS key",
+    ).repartition(8).write.parquet(path)
+    df = spark.read.parquet(path)
+    reference = keys_frame(spark, [str(i) for i in range(30_000)])
+    suite = Suite("T", (foreign_key("ORPHANS", "key", reference, "key"),))
+    summary = dq_summary(df, suite)
+    assert "SortMergeJoin(skew=true)" in plan_of(summary, final=True)
+    found = summary.agg(F.count("*"), F.sum("check_value")).first()
+    assert tuple(found) == (120_000, 60_000 + 45_000)
+
+
+def test_measuring_the_reference_moves_no_keys(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    spark.range(50_000).selectExpr("CAST(id % 1000 AS STRING) AS key").write.parquet(path)
+    reference = spark.read.parquet(path)
+    assert _fits_broadcast(reference, "key", 1000 * 110 * 2)
+    assert not _fits_broadcast(reference, "key", 1000 * 100 // 2)
+    measured = reference.agg(F.approx_count_distinct("key"))
+    assert "hashpartitioning" not in plan_of(measured)
     assert "IsNotNull(person_id)" in plan
 
 

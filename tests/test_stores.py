@@ -1,19 +1,31 @@
 from datetime import timedelta
 
+import pytest
+from pyspark.sql import functions as F
+
 from helpers import AS_OF_TS
-from tablegauge import FreshnessRuleChange, ThresholdChange
+from tablegauge import FreshnessRuleChange, Suite, ThresholdChange, count_where, run_freshness
 from tablegauge.plans.audits import (
     Store,
     dq_audit_all,
+    record_audit,
     record_dq_audit,
+    record_freshness,
     record_freshness_audit,
 )
-from tablegauge.schemas import DQ_AUDIT, FRESHNESS_AUDIT
+from tablegauge.schemas import DQ_AUDIT, FRESHNESS_AUDIT, FRESHNESS_RULES, THRESHOLDS
 from tablegauge.sources.audit_store import (
+    RunRecorded,
     append_audit_table,
     create_audit_table,
     read_audit,
 )
+from tablegauge.sources.config_store import (
+    VersionConflict,
+    latest_version,
+    read_config,
+    write_config,
+)
 from tablegauge.sources.sample_tables import SampleTables
 from tablegauge.sources.seeds import seed_thresholds
 from tablegauge.sources.tables import load_table
@@ -96,3 +108,82 @@ def test_load_table_from_files(spark, tmp_path):
     spark.range(3).write.json(path)
     assert load_table(spark, path, "json").count() == 3
     assert load_table(spark, f"{SF_DIR}/region.parquet").count() == 5
+
+
+def test_a_half_written_version_is_ignored(spark, tmp_path):
+    root = str(tmp_path / "thresholds")
+    rows = seed_thresholds(spark, AS_OF_TS)
+    write_config(rows, root, THRESHOLDS, 1)
+    write_config(rows.repartition(4), root, THRESHOLDS, 2)
+    whole = next((tmp_path / "thresholds" / "version=2").iterdir())
+    torn = tmp_path / "thresholds" / "version=3" / whole.name
+    torn.mkdir(parents=True)
+    part = next(whole.glob("part-*.parquet"))
+    (torn / part.name).write_bytes(part.read_bytes())
+    assert latest_version(spark, root, THRESHOLDS) == 2
+    assert read_config(spark, root, THRESHOLDS).count() == 43
+    with pytest.raises(ValueError, match="no whole version 3"):
+        read_config(spark, root, THRESHOLDS, 3)
+
+
+def test_of_two_writers_of_a_version_one_wins(spark, tmp_path):
+    root = str(tmp_path / "thresholds")
+    rows = seed_thresholds(spark, AS_OF_TS)
+    write_config(rows, root, THRESHOLDS, 1)
+    first = next((tmp_path / "thresholds" / "version=1").iterdir())
+    # A second whole write, as of a writer that began before the first ended.
+    smaller = first.with_name("write_id=0")
+    smaller.mkdir()
+    for part in first.glob("part-*.parquet"):
+        (smaller / part.name).write_bytes(part.read_bytes())
+    assert read_config(spark, root, THRESHOLDS).count() == 43
+    with pytest.raises(VersionConflict):
+        write_config(rows, root, THRESHOLDS, 1)
+    assert latest_version(spark, root, THRESHOLDS) == 1
+
+
+def test_configs_that_are_not_there(spark, tmp_path):
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    with pytest.raises(ValueError, match="no whole version"):
+        read_config(spark, str(empty), THRESHOLDS)
+    with pytest.raises(ValueError, match="empty config"):
+        write_config(seed_thresholds(spark, AS_OF_TS).limit(0), str(empty), THRESHOLDS, 1)
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_any_suite_is_recorded_once(spark, tmp_path, catalog):
+    if catalog:
+        spark.sql("CREATE DATABASE IF NOT EXISTS quality")
+    store = Store.in_catalog("quality") if catalog else Store.under(str(tmp_path))
+    try:
+        store.install(spark, AS_OF_TS)
+        later = AS_OF_TS + timedelta(hours=1)
+        for _ in range(2):  # a change on top of a change
+            change = ThresholdChange(
+                table_name="ORDERS",
+                check_name="a.b",
+                decision_id="O",
+                severity="FAIL",
+                threshold_type="ABSOLUTE_COUNT",
+                threshold_value=10,
+            )
+            store.change_thresholds(spark, [change], later)
+        thresholds = read_config(spark, store.thresholds, THRESHOLDS)
+        orders = load_table(spark, f"{SF_DIR}/orders.parquet")
+        suite = Suite("ORDERS", (count_where("a.b", F.col("o_orderkey") > 0),), by="o_orderstatus")
+        record_audit(orders, suite, thresholds, store.dq_audit, later)
+        with pytest.raises(RunRecorded):
+            record_audit(orders, suite, thresholds, store.dq_audit, later)
+        audit = load_table(spark, store.dq_audit)
+        assert [(r.check_name, r.status) for r in audit.collect()] == [("a.b", "FAIL")]
+
+        rules = read_config(spark, store.freshness_rules, FRESHNESS_RULES)
+        summary = run_freshness(SampleTables(spark, SF_DIR).spine, "PERSON_SPINE", later)
+        record_freshness(summary, rules, store.freshness_audit, later)
+        with pytest.raises(RunRecorded):
+            record_freshness(summary, rules, store.freshness_audit, later)
+        assert load_table(spark, store.freshness_audit).count() == 2
+    finally:
+        if catalog:
+            spark.sql("DROP DATABASE quality CASCADE")
