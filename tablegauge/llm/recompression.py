@@ -6,8 +6,9 @@ uses the same names, and a coin per symbol and round gives the halves. Whether t
 depends on two neighbours to either side, so equal passages get equal symbols but for a margin. The
 number of rounds is the largest for which every window holds a symbol that is not in its margin.
 
-A window's anchor is the least name of the symbols inside it, so equal windows have equal anchors, and
-neighbouring windows mostly share one: a stretch. Spark counts anchors over the corpus:
+A window's anchor is the symbol of the least name inside it, with the words of its margins, which the
+window holds too. So equal windows have equal anchors, and neighbouring windows mostly share one: a
+stretch. Spark counts anchors over the corpus:
 
 * an anchor that occurs once reveals nothing, and its windows are unique;
 * stretches of equal words repeat as a whole, with all of their windows;
@@ -120,13 +121,13 @@ class Parser:
             here = level == k
             best[here] = np.minimum(rank[first[here]], rank[last[here] - (1 << k)])
         chosen = order[best]
-        self.anchors = least[chosen]
         # By symbol, not by name: equal windows then never share a stretch.
         cut = np.flatnonzero(chosen[1:] != chosen[:-1]) + 1
         self.lo = np.concatenate([[0], cut])
         self.hi = np.concatenate([cut - 1, [n_windows - 1]])
         self._grow(len(words) + 1)
         self.sums = np.concatenate([np.zeros(1, dtype=_U), np.cumsum(h * self.powers[: len(h)], dtype=_U)])
+        self.anchors = self.digests(starts[chosen] - self.margin, ends[chosen] + self.margin)
 
     def digests(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """Hashes of the words from `start` up to `stop`."""
