@@ -21,6 +21,9 @@ from tablegauge.llm import (
     winnowing,
 )
 from tablegauge.llm.common import load, ship_package
+from tablegauge.llm.oracles import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES", "RANKS"]
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -105,5 +108,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_winnowing,
     )
 }
-
-ORACLE_SQL: dict[str, str] = {}
