@@ -332,7 +332,8 @@ def train(pages: DataFrame, cut: Cut = Cut()) -> np.ndarray:
     examples = sample.select("html").mapInArrow(sums, "x array<double>, y int")
     # A fixed order, so that a rerun sums alike. The pages are bounded, and so are their blocks.
     examples = examples.repartition(1).sortWithinPartitions("y", "x")
-    return np.array(examples.mapInArrow(fit, "w array<double>").first().w)
+    row = examples.mapInArrow(fit, "w array<double>").first()
+    return np.array(DEFAULT_WEIGHTS if row is None else row.w)
 
 
 def extracted(pages: DataFrame, cut: Cut = Cut()) -> DataFrame:
