@@ -128,6 +128,8 @@ def components(edges: DataFrame) -> DataFrame:
     Every round is written to the shared folder; the rounds grow with the logarithm of the longest chain.
     """
     edges = saved(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct())
+    # The edges only get fewer: about a million of them in a file.
+    files = -(-edges.count() // 1_000_000) or 1
     before = None
     while True:
         both = edges.union(edges.select("v", "u"))
@@ -137,7 +139,7 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: all smaller neighbours of a node, and the node, hang on the least of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = saved(small.union(least.select("u", F.col("m").alias("v"))).filter("u > v").distinct())
+        edges = saved(small.union(least.select("u", F.col("m").alias("v"))).filter("u > v").distinct().coalesce(files))
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -179,7 +181,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int
 
 
 def _links(classes: DataFrame, docs: DataFrame, words: int, percent: int, n_minima: int) -> DataFrame:
-    """Pairs of similar classes, enough of them to connect every component."""
+    """Pairs of classes that connect every component: similar classes, or a class and the least one it reaches."""
     entries = classes.select("cls", F.explode("buckets").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = saved(entries.join(shared, "bucket"))
@@ -199,10 +201,11 @@ def _links(classes: DataFrame, docs: DataFrame, words: int, percent: int, n_mini
     # Of each class, the size of the smallest set that it shares a bucket with.
     least = saved(apart.groupBy("bucket").agg(F.min("n").alias("least")))
     apart = saved(apart.join(least, "bucket").groupBy("cls", "root", "n").agg(F.min("least").alias("least")))
+    stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     if apart.isEmpty():
-        return links
+        return stars
     pairs = _prefix_pairs(apart, _texts(classes, docs, apart.select("cls")), words, percent)
-    return links.union(_confirmed(pairs, classes, docs, words, percent, n_minima))
+    return stars.union(_confirmed(pairs, classes, docs, words, percent, n_minima))
 
 
 def _prefix_pairs(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
