@@ -35,6 +35,16 @@ def saved(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: The most that a side may take to be broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if_small(df: DataFrame, row_bytes: Column | int) -> DataFrame:
+    """`df` with a broadcast hint if its measured size allows it; runs one small job over a written table."""
+    size = df.agg(F.sum(F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to Python workers that have no path to it, once per session."""
     if any("tablegauge-src" in name for name in spark.sparkContext._python_includes):

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from tablegauge.llm.common import saved, text_keys
+from tablegauge.llm.common import broadcast_if_small, saved, text_keys
 
 #: The kinds of the base, in their order; `term` spans are added by the method.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -235,6 +235,8 @@ def sanitised(docs: DataFrame, reach: int = 8, support: int = 3, share: float =
     terms = _term_spans(docs, reach=reach, support=support, share=share)
     keyed = docs.withColumn("_text_key", F.struct(*text_keys(F.col("text"))))
     terms = terms.select(F.struct("k1", "k2").alias("_text_key"), F.col("terms").alias("_terms"))
+    # Beyond the limit whole rows are shuffled.
+    terms = broadcast_if_small(terms, 100 + 48 * F.size("_terms"))
     joined = keyed.join(terms, "_text_key", "left").withColumn("_base", _base("text"))
     spans = F.array_sort(F.concat("_base", F.coalesce("_terms", F.array().cast(_SPANS))))
     out = joined.withColumn("_clean", _without(F.col("text"), spans))
