@@ -1,11 +1,12 @@
 """Personal data: patterns, and terms that the corpus shows to disclose what the patterns protect.
 
 1. Patterns find protected entities: e-mail and IP addresses, card and phone numbers.
-2. For each entity, the terms in the words around it are counted over the distinct contexts it has in
-   the corpus, and for each such term the documents that hold it.
+2. For each entity the documents that hold it are counted, for each term in the words around it the
+   documents that hold both, and those that hold the term at all.
 3. A term discloses an entity when their pointwise mutual information reaches `share` of the entity's
-   own information: PMI(term; entity) >= share * IC(entity), seen in at least `support` contexts. Then it
-   is a span too, next to that entity, and is generalised or removed with the rest.
+   own information: PMI(term; entity) >= share * IC(entity), seen in at least `support` different contexts,
+   so that copies of a text disclose nothing. Then it is a span too, next to that entity, and is
+   generalised or removed with the rest.
 """
 
 from __future__ import annotations
@@ -98,26 +99,33 @@ def _near_terms(text: str, spans: list[tuple[int, int, int]], reach: int) -> Ite
 
 
 def _contexts(docs: DataFrame, reach: int) -> DataFrame:
-    """k1, k2, entity, context, term, start, stop: the terms around the entities of every text."""
+    """k1, k2, entity, context, term, start, stop: the terms around the entities of every text.
+
+    new_pair and new_entity are 1 on the first row of entity and term, and of entity, in a document.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, rest = [], []
             for i, text in enumerate(batch.column("text")):
-                text = text.as_py()
+                text, pairs, entities = text.as_py(), set(), set()
                 for entity, context, words in _near_terms(text, spans, reach) if (spans := base_spans(text)) else ():
                     for word, s, e in words:
+                        term = _term_hash(word)
                         row.append(i)
-                        rest.append((entity, context, _term_hash(word), s, e))
-            columns = np.array(rest, dtype=np.int64).reshape(-1, 5)
+                        rest.append((entity, context, term, s, e, (entity, term) not in pairs, entity not in entities))
+                        pairs.add((entity, term))
+                        entities.add(entity)
+            columns = np.array(rest, dtype=np.int64).reshape(-1, 7)
             row = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("k1").take(row), batch.column("k2").take(row), *(pa.array(c) for c in columns.T)],
-                names=["k1", "k2", "entity", "context", "term", "start", "stop"],
+                names=["k1", "k2", "entity", "context", "term", "start", "stop", "new_pair", "new_entity"],
             )
 
     return docs.select(*text_keys(F.col("text")), "text").mapInArrow(
-        emit, "k1 long, k2 long, entity long, context long, term long, start long, stop long"
+        emit,
+        "k1 long, k2 long, entity long, context long, term long, start long, stop long, new_pair long, new_entity long",
     )
 
 
@@ -156,9 +164,10 @@ def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 def disclosing_terms(docs: DataFrame, reach: int = 8, support: int = 3, share: float = 0.9) -> DataFrame:
     """k1, k2, start, stop: the terms that disclose a nearby entity, in every text (named by its hashes)."""
     near = saved(_contexts(docs, reach))
-    pairs = near.select("entity", "context", "term").distinct()
-    held = near.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    both = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= support)
+    held = near.groupBy("entity").agg(F.sum("new_entity").alias("n_entity"))
+    seen = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
+    both = near.groupBy("entity", "term").agg(F.sum("new_pair").alias("n_both"))
+    both = both.join(seen.filter(F.col("contexts") >= support), ["entity", "term"]).drop("contexts")
     both = saved(both.join(held, "entity"))
     counts = _document_counts(docs, both.select("term").distinct())
     n = docs.count()
