@@ -27,13 +27,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tablegauge.llm.common import saved, text_keys
+from tablegauge.llm.common import saved
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-#: Tasks that copies of one text are spread over when whole texts are joined.
-SALTS = 8
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -134,8 +132,20 @@ class Parser:
         return _mix((self.sums[stop] - self.sums[start]) * self.inverse[start] + _mix((stop - start).astype(_U)))
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, mark (a hash of the text; both name a row, but for repeated rows), raw (the text)."""
+    return docs.select("doc_id", F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("raw"))
+
+
+def _of_rows(texts: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """`texts` with what was `found` for each row; a null id equals a null id."""
+    other = found.withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
+    same = texts["doc_id"].eqNullSafe(other["_id"]) & (texts["mark"] == other["_mark"])
+    return texts.join(other, same, how).drop("_id", "_mark")
+
+
 def _stretches(docs: DataFrame, window: int) -> DataFrame:
-    """doc_id, k1, k2 (name a text), stretch (number in the text), anchor, digest (of the stretch's words)."""
+    """doc_id, mark, stretch (number in the text), anchor, digest (of the stretch's words)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser(window)
@@ -151,15 +161,14 @@ def _stretches(docs: DataFrame, window: int) -> DataFrame:
             if row:
                 row = pa.array(np.concatenate(row))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).take(row) for c in ("doc_id", "k1", "k2")]
+                    [batch.column(c).take(row) for c in ("doc_id", "mark")]
                     + [pa.array(np.concatenate(number).astype(np.int32))]
                     + [pa.array(np.concatenate(x).astype(np.int64)) for x in (anchor, digest)],
-                    names=["doc_id", "k1", "k2", "stretch", "anchor", "digest"],
+                    names=["doc_id", "mark", "stretch", "anchor", "digest"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    raw = docs.select("doc_id", *text_keys(F.col("text")), F.col("text").cast("binary").alias("raw"))
-    return raw.mapInArrow(emit, f"doc_id {kind}, k1 long, k2 long, stretch int, anchor long, digest long")
+    return _texts(docs).mapInArrow(emit, f"doc_id {kind}, mark long, stretch int, anchor long, digest long")
 
 
 def repeated_passages_removed(docs: DataFrame, window: int = 35) -> DataFrame:
@@ -178,22 +187,17 @@ def repeated_passages_removed(docs: DataFrame, window: int = 35) -> DataFrame:
     repeated = saved(occurring.filter("n > 1").select("anchor", (F.col("lo") < F.col("hi")).alias("differ")))
     found = saved(_stretches(docs, window).join(repeated, "anchor"))
     # Of equal stretches under an anchor that has others too, one stands for all.
-    one = F.min(F.struct("k1", "k2", "doc_id", "stretch")).alias("one")
+    one = F.min(F.struct("mark", "doc_id", "stretch")).alias("one")
     contents = saved(found.filter("differ").groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("n"), one))
 
-    # Texts move once: the exchange below serves both joins. Copies of a text are spread by a salt.
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt")
-    texts = docs.select("doc_id", *text_keys(F.col("text")), salt, F.col("text").cast("binary").alias("raw"))
-    keys = ["k1", "k2", "salt"]
-
-    def salted(groups: DataFrame) -> DataFrame:
-        return groups.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    # The exchange of the texts below serves both joins.
+    texts, kind = _texts(docs), docs.schema["doc_id"].dataType.simpleString()
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser(window)
         for batch in batches:
             row, place, digest = [], [], []
-            for i, (doc, raw, numbers) in enumerate(zip(batch.column("doc_id"), batch.column("raw"), batch.column("open"))):
+            for i, (raw, numbers) in enumerate(zip(batch.column("raw"), batch.column("open"))):
                 parser.parse((raw.as_py() or b"").split())
                 numbers = np.array(sorted(numbers.as_py()))
                 at = np.concatenate([np.arange(a, b + 1) for a, b in zip(parser.lo[numbers], parser.hi[numbers])])
@@ -203,23 +207,22 @@ def repeated_passages_removed(docs: DataFrame, window: int = 35) -> DataFrame:
             if row:
                 row = pa.array(np.concatenate(row))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("k1").take(row), batch.column("k2").take(row), pa.array(np.concatenate(place).astype(np.int32))]
+                    [batch.column("doc_id").take(row), batch.column("mark").take(row), pa.array(np.concatenate(place).astype(np.int32))]
                     + [pa.array(np.concatenate(digest).astype(np.int64))],
-                    names=["k1", "k2", "place", "digest"],
+                    names=["doc_id", "mark", "place", "digest"],
                 )
 
-    opened = contents.select("one.*").groupBy("k1", "k2", "doc_id").agg(F.collect_list("stretch").alias("open"))
-    opened = salted(opened).withColumnRenamed("doc_id", "owner")
-    listed = texts.join(opened, keys).filter(F.col("doc_id").eqNullSafe(F.col("owner"))).select("doc_id", "k1", "k2", "raw", "open")
+    opened = contents.select("one.*").groupBy("doc_id", "mark").agg(F.collect_list("stretch").alias("open"))
+    listed = _of_rows(texts, opened, "inner")
     # Windows of one stretch are never equal, and of repeated rows one counts.
-    one_by_one = listed.mapInArrow(windows, "k1 long, k2 long, place int, digest long").distinct()
+    one_by_one = listed.mapInArrow(windows, f"doc_id {kind}, mark long, place int, digest long").distinct()
     times = F.count(F.lit(1)).over(Window.partitionBy("digest"))
-    again = one_by_one.withColumn("times", times).filter("times > 1").select("k1", "k2", (2 * F.col("place") + 1).alias("code"))
+    again = one_by_one.withColumn("times", times).filter("times > 1").select("doc_id", "mark", (2 * F.col("place") + 1).alias("code"))
     twice = saved(contents.filter("n > 1").select("anchor", "digest"))
-    alike = found.filter("differ").join(twice, ["anchor", "digest"]).select("k1", "k2", "stretch")
-    whole = alike.union(found.filter("NOT differ").select("k1", "k2", "stretch")).distinct()
-    whole = whole.select("k1", "k2", (2 * F.col("stretch")).alias("code"))
-    codes = whole.union(again).groupBy("k1", "k2").agg(F.collect_list("code").alias("codes"))
+    alike = found.filter("differ").join(twice, ["anchor", "digest"]).select("doc_id", "mark", "stretch")
+    whole = alike.union(found.filter("NOT differ").select("doc_id", "mark", "stretch")).distinct()
+    whole = whole.select("doc_id", "mark", (2 * F.col("stretch")).alias("code"))
+    codes = whole.union(again).groupBy("doc_id", "mark").agg(F.collect_list("code").alias("codes"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser(window)
@@ -243,7 +246,6 @@ def repeated_passages_removed(docs: DataFrame, window: int = 35) -> DataFrame:
                 names=["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    joined = texts.join(salted(codes), keys, "left").select("doc_id", "raw", "codes")
+    joined = _of_rows(texts, codes, "left").select("doc_id", "raw", "codes")
     out = joined.mapInArrow(remove, f"doc_id {kind}, n_words long, n_removed long, kept binary")
     return out.select("doc_id", "n_words", "n_removed", F.decode("kept", "UTF-8").alias("kept_text"))
