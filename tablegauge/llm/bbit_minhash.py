@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tablegauge.llm.common import saved, text_keys
+from tablegauge.llm.common import broadcast_if_small, saved, text_keys
 
 _U = np.uint64
 #: One bit in each 4-bit field of a signed 64-bit number.
@@ -151,7 +151,9 @@ def _texts(classes: DataFrame, docs: DataFrame, wanted: DataFrame) -> DataFrame:
     needed = saved(classes.join(wanted.distinct(), "cls").select("cls", "doc_id", "k1", "k2"))
     source = docs.select("doc_id", *text_keys(F.col("text")), F.col("text").cast("binary").alias("raw"))
     same = [source["doc_id"].eqNullSafe(needed["doc_id"]), source["k1"] == needed["k1"], source["k2"] == needed["k2"]]
-    return saved(source.join(needed, same).select("cls", "raw").dropDuplicates(["cls"]))
+    # 100 bytes for a row in a hash table. Beyond the limit the texts are shuffled.
+    near = source.join(broadcast_if_small(needed, 100), same)
+    return saved(near.select("cls", "raw").dropDuplicates(["cls"]))
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, n_minima: int) -> DataFrame:
