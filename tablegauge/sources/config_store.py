@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,13 +75,24 @@ def read_config(
     return writes.filter(mine).select(*schema.fieldNames())
 
 
+def _held(spark: SparkSession, target: str, schema: T.StructType, version: int) -> bool:
+    """Whether there is a whole write of the version."""
+    try:
+        return _winner(_writes(spark, target, schema), version) is not None
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            raise
+        return False
+
+
 def write_config(
     config: DataFrame, target: str, schema: T.StructType, version: int, unique_id: str | None = None
 ) -> None:
     """Write a new version to a path or a catalog table.
 
     Raises `VersionConflict` if the version is there already, or if a write of another writer at the
-    same time counts. Required columns are checked while writing. `unique_id` is checked first, as
+    same time counts. Plain files know no locks: a writer that began before this one ended and commits
+    after its last look can still win; readers agree on the winner all the same. Required columns are checked while writing. `unique_id` is checked first, as
     Spark has no primary keys. An empty config is refused: it could not be told from a missing one.
     """
     spark = config.sparkSession
@@ -92,6 +104,8 @@ def write_config(
     n_rows = rows.count()
     if n_rows == 0:
         raise ValueError(f"an empty config is not written to {target}")
+    if _held(spark, target, schema, version):
+        raise VersionConflict(f"version {version} of {target} is there already")
     mine = Write(version, uuid.uuid4().hex)
     marked = rows.withColumn("row_count", F.lit(n_rows).cast("bigint"))
     if is_path(target):

@@ -14,7 +14,7 @@ from tablegauge import (
     update_thresholds,
 )
 from tablegauge.schemas import FRESHNESS_RULES, THRESHOLDS
-from tablegauge.sources.config_store import latest_version, read_config, write_config
+from tablegauge.sources.config_store import VersionConflict, latest_version, read_config, write_config
 from tablegauge.sources.seeds import seed_freshness_rules, seed_thresholds
 
 LATER = datetime(2024, 2, 1, 6)
@@ -153,7 +153,7 @@ def test_versions_on_files(spark, thresholds, tmp_path):
     assert read_config(spark, root, THRESHOLDS).count() == 44
     assert read_config(spark, root, THRESHOLDS, version=1).count() == 43
     assert read_config(spark, root, THRESHOLDS).columns == THRESHOLDS.fieldNames()
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(VersionConflict, match="there already"):
         write_config(changed, root, THRESHOLDS, 2)
 
 
