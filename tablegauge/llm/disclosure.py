@@ -1,12 +1,12 @@
 """Personal data: patterns, and terms that the corpus shows to disclose what the patterns protect.
 
 1. Patterns find protected entities: e-mail and IP addresses, card and phone numbers.
-2. For each entity the documents that hold it are counted, for each term in the words around it the
-   documents that hold both, and those that hold the term at all.
+2. For each entity the texts that hold it are counted, for each term in the words around it the
+   texts that hold both, and those that hold the term at all. Exact copies of a text count once.
 3. A term discloses an entity when their pointwise mutual information reaches `share` of the entity's
-   own information: PMI(term; entity) >= share * IC(entity), seen in at least `support` different contexts,
-   so that copies of a text disclose nothing. Then it is a span too, next to that entity, and is
-   generalised or removed with the rest.
+   own information: PMI(term; entity) >= share * IC(entity), where PMI is smoothed by `prior` texts in
+   which entity and term are independent, so that few texts tell less than many. Then it is a span too,
+   next to that entity, and is generalised or removed with the rest.
 """
 
 from __future__ import annotations
@@ -85,52 +85,48 @@ def _term_hash(term: str) -> int:
     return xxh64_intdigest(term.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _near_terms(text: str, spans: list[tuple[int, int, int]], reach: int) -> Iterator[tuple[int, int, list[tuple[str, int, int]]]]:
-    """Entity, context (hashes) and the terms (lower case, start, end) within `reach` terms of each span."""
+def _near_terms(text: str, spans: list[tuple[int, int, int]], reach: int) -> Iterator[tuple[int, list[tuple[str, int, int]]]]:
+    """Entity and the terms (lower case, start, end) within `reach` terms of each span."""
     terms = [(m.start(), m.end()) for m in _TERM.finditer(text)]
     starts = [s for s, _ in terms]
     for start, kind, end in spans:
         at, after = np.searchsorted(starts, [start, end])
         near = [*terms[max(0, at - reach) : at], *terms[after : after + reach]]
         near = [(s, e) for s, e in near if not any(s < b and a < e for a, _, b in spans)]
-        words = [(text[s:e].lower(), s, e) for s, e in near]
-        entity = _term_hash(f"{KINDS[kind]}:{text[start:end].lower()}")
-        yield entity, _term_hash("\n".join(w for w, _, _ in words)), words
+        yield _term_hash(f"{KINDS[kind]}:{text[start:end].lower()}"), [(text[s:e].lower(), s, e) for s, e in near]
 
 
 def _contexts(docs: DataFrame, reach: int) -> DataFrame:
-    """k1, k2, entity, context, term, start, stop: the terms around the entities of every text.
-
-    new_pair and new_entity are 1 on the first row of entity and term, and of entity, in a document.
-    """
+    """k1, k2, entity, term, start, stop: the terms around the entities of every text."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, rest = [], []
             for i, text in enumerate(batch.column("text")):
-                text, pairs, entities = text.as_py(), set(), set()
-                for entity, context, words in _near_terms(text, spans, reach) if (spans := base_spans(text)) else ():
+                text = text.as_py()
+                for entity, words in _near_terms(text, spans, reach) if (spans := base_spans(text)) else ():
                     for word, s, e in words:
-                        term = _term_hash(word)
                         row.append(i)
-                        rest.append((entity, context, term, s, e, (entity, term) not in pairs, entity not in entities))
-                        pairs.add((entity, term))
-                        entities.add(entity)
-            columns = np.array(rest, dtype=np.int64).reshape(-1, 7)
+                        rest.append((entity, _term_hash(word), s, e))
+            columns = np.array(rest, dtype=np.int64).reshape(-1, 4)
             row = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("k1").take(row), batch.column("k2").take(row), *(pa.array(c) for c in columns.T)],
-                names=["k1", "k2", "entity", "context", "term", "start", "stop", "new_pair", "new_entity"],
+                names=["k1", "k2", "entity", "term", "start", "stop"],
             )
 
-    return docs.select(*text_keys(F.col("text")), "text").mapInArrow(
-        emit,
-        "k1 long, k2 long, entity long, context long, term long, start long, stop long, new_pair long, new_entity long",
-    )
+    kind = "k1 long, k2 long, entity long, term long, start long, stop long"
+    return docs.select(*text_keys(F.col("text")), "text").mapInArrow(emit, kind).distinct()
+
 
+def _copies(docs: DataFrame) -> DataFrame:
+    """k1, k2, n: the texts that occur n times, more than once."""
+    keys = docs.filter("text IS NOT NULL").select(*text_keys(F.col("text")))
+    return saved(keys.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
 
-def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """term, n_docs: the documents that hold each of `terms`."""
+
+def _document_counts(docs: DataFrame, terms: DataFrame, copies: DataFrame) -> DataFrame:
+    """term, n_docs: the different texts that hold each of `terms`."""
     bit = F.shiftrightunsigned("term", 64 - _FILTER_BITS)
     word = terms.select(F.shiftright(bit, 6).alias("word"), F.expr("1L").alias("one"), bit.bitwiseAND(63).cast("int").alias("place"))
     # A bit array of fixed size on the driver; a full one only lets more terms be counted.
@@ -143,36 +139,49 @@ def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
         passes = np.unpackbits(np.frombuffer(wanted.value, np.uint8), bitorder="little")
         known: dict[str, int | None] = {}
         for batch in batches:
-            counts: Counter[int] = Counter()
-            for text in batch.column("text"):
+            counts: Counter[tuple[int, int]] = Counter()
+            for text, n in zip(batch.column("text"), batch.column("n").to_pylist()):
                 words = {w.lower() for w in set(_TERM.findall(text.as_py() or ""))}
                 if len(known) > 500_000:
                     known.clear()
                 for w in words.difference(known):
                     h = _term_hash(w)
                     known[w] = h if passes[(h & ((1 << 64) - 1)) >> (64 - _FILTER_BITS)] else None
-                counts.update(map(known.__getitem__, words))
-            counts.pop(None, None)
+                counts.update((h, n) for h in map(known.__getitem__, words) if h is not None)
             yield pa.RecordBatch.from_pydict(
-                {"term": pa.array(list(counts), pa.int64()), "n": pa.array(list(counts.values()), pa.int64())}
+                {
+                    "term": pa.array([h for h, _ in counts], pa.int64()),
+                    "n": pa.array([n for _, n in counts], pa.int64()),
+                    "rows": pa.array(list(counts.values()), pa.int64()),
+                }
             )
 
-    counted = docs.select("text").mapInArrow(count, "term long, n long")
-    return counted.groupBy("term").agg(F.sum("n").alias("n_docs")).join(terms, "term", "left_semi")
+    # A text that occurs n times is met n times, and counts 1 / n each time.
+    keyed = docs.filter("text IS NOT NULL").select(F.struct(*text_keys(F.col("text"))).alias("key"), "text")
+    repeated = broadcast_if_small(copies.select(F.struct("k1", "k2").alias("key"), "n"), 40)
+    met = keyed.join(repeated, "key", "left").select("text", F.coalesce("n", F.lit(1)).alias("n"))
+    counted = met.mapInArrow(count, "term long, n long, rows long").groupBy("term", "n").agg(F.sum("rows").alias("rows"))
+    return counted.groupBy("term").agg(F.sum(F.expr("rows div n")).alias("n_docs")).join(terms, "term", "left_semi")
+
+
+def _n_texts(docs: DataFrame, copies: DataFrame) -> int:
+    """The different texts; a null is none."""
+    rows = docs.filter("text IS NOT NULL").count()
+    return rows - (copies.agg(F.sum(F.col("n") - 1)).first()[0] or 0)
 
 
-def disclosing_terms(docs: DataFrame, reach: int = 8, support: int = 3, share: float = 0.9) -> DataFrame:
+def disclosing_terms(docs: DataFrame, reach: int = 8, share: float = 0.9, prior: float = 1 / 3) -> DataFrame:
     """k1, k2, start, stop: the terms that disclose a nearby entity, in every text (named by its hashes)."""
     near = saved(_contexts(docs, reach))
-    held = near.groupBy("entity").agg(F.sum("new_entity").alias("n_entity"))
-    seen = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
-    both = near.groupBy("entity", "term").agg(F.sum("new_pair").alias("n_both"))
-    both = both.join(seen.filter(F.col("contexts") >= support), ["entity", "term"]).drop("contexts")
+    copies = _copies(docs)
+    held = near.select("k1", "k2", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    both = near.select("k1", "k2", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
     both = saved(both.join(held, "entity"))
-    counts = _document_counts(docs, both.select("term").distinct())
-    n = docs.count()
-    information = F.log2(F.lit(float(max(n, 1))) / F.col("n_entity"))
-    mutual = F.log2(F.lit(float(max(n, 1))) * F.col("n_both") / (F.col("n_entity") * F.col("n_docs")))
+    counts = _document_counts(docs, both.select("term").distinct(), copies)
+    n = float(max(_n_texts(docs, copies), 1))
+    information = F.log2(F.lit(n) / F.col("n_entity"))
+    given_term = (F.col("n_both") + F.lit(prior) * F.col("n_entity") / F.lit(n)) / (F.col("n_docs") + F.lit(prior))
+    mutual = information + F.log2(given_term)
     strong = both.join(counts, "term").filter((information > 0) & (mutual >= share * information)).select("entity", "term")
     return near.join(saved(strong), ["entity", "term"]).select("k1", "k2", "start", "stop").distinct()
 
@@ -204,13 +213,13 @@ def _all_spans() -> Column:
     return F.array_sort(F.concat("base", F.coalesce("terms", F.array().cast(_SPANS))))
 
 
-def personal_data(docs: DataFrame, reach: int = 8, support: int = 3, share: float = 0.9) -> DataFrame:
+def personal_data(docs: DataFrame, reach: int = 8, share: float = 0.9, prior: float = 1 / 3) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, n_term, spans for every row of `docs`.
 
     Null and empty texts have no spans. Repeated rows get equal results. Spans of one kind do not overlap;
     those of two kinds may. Other columns are ignored; an empty table gives no rows.
     """
-    terms = _term_spans(docs, reach=reach, support=support, share=share)
+    terms = _term_spans(docs, reach=reach, share=share, prior=prior)
     base = docs.select("doc_id", *text_keys(F.col("text")), _base("text").alias("base"))
     out = base.join(terms, ["k1", "k2"], "left")
     number = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == KINDS.index(kind))).cast("long").alias(f"n_{kind}")
@@ -236,12 +245,12 @@ def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series([one(t, s) for t, s in zip(texts, spans)], dtype=object)
 
 
-def sanitised(docs: DataFrame, reach: int = 8, support: int = 3, share: float = 0.9) -> DataFrame:
+def sanitised(docs: DataFrame, reach: int = 8, share: float = 0.9, prior: float = 1 / 3) -> DataFrame:
     """`docs` with every span of personal data replaced by its kind, as in [EMAIL]; no row is left out.
 
     n_chars, where there is such a column, follows the new text. Cases as in `personal_data`.
     """
-    terms = _term_spans(docs, reach=reach, support=support, share=share)
+    terms = _term_spans(docs, reach=reach, share=share, prior=prior)
     keyed = docs.withColumn("_text_key", F.struct(*text_keys(F.col("text"))))
     terms = terms.select(F.struct("k1", "k2").alias("_text_key"), F.col("terms").alias("_terms"))
     # Beyond the limit whole rows are shuffled.

@@ -275,6 +275,20 @@ def test_disclosing_terms_are_found_and_removed(spark):
     assert clean.filter("doc_id = 55").first().text == rows[11][1]
 
 
+@pytest.mark.parametrize("n", [1, 2])
+def test_terms_of_entities_in_few_documents(spark, n):
+    """A rare name beside an address in one or two texts discloses it; exact copies are one text."""
+    rows = [(i, f"note {i} from Quillfeather at q@x.example.org about tea today") for i in range(n)]
+    rows += [(50 + i, f"note {i} from someone about tea today") for i in range(60)]
+    copied = [*rows, *[(200 + i, rows[0][1]) for i in range(30)], *[(300 + i, "note from someone about milk today") for i in range(30)]]
+    for table in (rows, copied):
+        found = {r.doc_id: r for r in disclosure.personal_data(cases.frame(spark, table, extra=False)).collect()}
+        for doc, text in table:
+            name = text.find("Quillfeather")
+            spans = [x for x in found[doc].spans.split(",") if x.startswith("term")]
+            assert spans == ([f"term:{name}:{name + 12}"] if name >= 0 else [])
+
+
 def test_toxicity_learns_without_the_holdout(spark):
     rows, labels = [], []
     for i in range(400):
