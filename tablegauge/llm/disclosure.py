@@ -1,12 +1,13 @@
 """Personal data: patterns, and terms that the corpus shows to disclose what the patterns protect.
 
 1. Patterns find protected entities: e-mail and IP addresses, card and phone numbers.
-2. For each entity the texts that hold it are counted, for each term in the words around it the
-   texts that hold both, and those that hold the term at all. Exact copies of a text count once.
+2. For each entity the texts that hold it are counted, for each term of these texts the texts that hold
+   both, and those that hold the term at all. Exact copies of a text count once. A pair is only counted
+   where the counts of its two sides leave room for the rule.
 3. A term discloses an entity when their pointwise mutual information reaches `share` of the entity's
    own information: PMI(term; entity) >= share * IC(entity), where PMI is smoothed by `prior` texts in
-   which entity and term are independent, so that few texts tell less than many. Then it is a span too,
-   next to that entity, and is generalised or removed with the rest.
+   which entity and term are independent, so that few texts tell less than many. Then all its
+   occurrences in the texts that hold the entity are spans too, generalised or removed with the rest.
 """
 
 from __future__ import annotations
@@ -85,38 +86,37 @@ def _term_hash(term: str) -> int:
     return xxh64_intdigest(term.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _near_terms(text: str, spans: list[tuple[int, int, int]], reach: int) -> Iterator[tuple[int, list[tuple[str, int, int]]]]:
-    """Entity and the terms (lower case, start, end) within `reach` terms of each span."""
-    terms = [(m.start(), m.end()) for m in _TERM.finditer(text)]
-    starts = [s for s, _ in terms]
-    for start, kind, end in spans:
-        at, after = np.searchsorted(starts, [start, end])
-        near = [*terms[max(0, at - reach) : at], *terms[after : after + reach]]
-        near = [(s, e) for s, e in near if not any(s < b and a < e for a, _, b in spans)]
-        yield _term_hash(f"{KINDS[kind]}:{text[start:end].lower()}"), [(text[s:e].lower(), s, e) for s, e in near]
+def _terms_outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """The terms (lower case, start, end) that overlap none of the sorted `spans`."""
+    k = covered = 0
+    for m in _TERM.finditer(text):
+        while k < len(spans) and spans[k][0] < m.end():
+            covered = max(covered, spans[k][2])
+            k += 1
+        if covered <= m.start():
+            yield m[0].lower(), m.start(), m.end()
 
 
-def _contexts(docs: DataFrame, reach: int) -> DataFrame:
-    """k1, k2, entity, term, start, stop: the terms around the entities of every text."""
+def _held(docs: DataFrame) -> DataFrame:
+    """k1, k2, entities, terms (hashes): the distinct ones of every different text that holds an entity."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, rest = [], []
+            row, entities, terms = [], [], []
             for i, text in enumerate(batch.column("text")):
                 text = text.as_py()
-                for entity, words in _near_terms(text, spans, reach) if (spans := base_spans(text)) else ():
-                    for word, s, e in words:
-                        row.append(i)
-                        rest.append((entity, _term_hash(word), s, e))
-            columns = np.array(rest, dtype=np.int64).reshape(-1, 4)
-            row = pa.array(row, pa.int64())
+                if spans := base_spans(text):
+                    row.append(i)
+                    entities.append(sorted({_term_hash(f"{KINDS[kind]}:{text[s:e].lower()}") for s, kind, e in spans}))
+                    terms.append([_term_hash(w) for w in sorted({w for w, _, _ in _terms_outside(text, spans)})])
+            row, kind = pa.array(row, pa.int64()), pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("k1").take(row), batch.column("k2").take(row), *(pa.array(c) for c in columns.T)],
-                names=["k1", "k2", "entity", "term", "start", "stop"],
+                [batch.column("k1").take(row), batch.column("k2").take(row), pa.array(entities, kind), pa.array(terms, kind)],
+                names=["k1", "k2", "entities", "terms"],
             )
 
-    kind = "k1 long, k2 long, entity long, term long, start long, stop long"
-    return docs.select(*text_keys(F.col("text")), "text").mapInArrow(emit, kind).distinct()
+    kind = "k1 long, k2 long, entities array<long>, terms array<long>"
+    return docs.select(*text_keys(F.col("text")), "text").mapInArrow(emit, kind).dropDuplicates(["k1", "k2"])
 
 
 def _copies(docs: DataFrame) -> DataFrame:
@@ -170,20 +170,33 @@ def _n_texts(docs: DataFrame, copies: DataFrame) -> int:
     return rows - (copies.agg(F.sum(F.col("n") - 1)).first()[0] or 0)
 
 
-def disclosing_terms(docs: DataFrame, reach: int = 8, share: float = 0.9, prior: float = 1 / 3) -> DataFrame:
-    """k1, k2, start, stop: the terms that disclose a nearby entity, in every text (named by its hashes)."""
-    near = saved(_contexts(docs, reach))
-    copies = _copies(docs)
-    held = near.select("k1", "k2", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    both = near.select("k1", "k2", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    both = saved(both.join(held, "entity"))
-    counts = _document_counts(docs, both.select("term").distinct(), copies)
-    n = float(max(_n_texts(docs, copies), 1))
-    information = F.log2(F.lit(n) / F.col("n_entity"))
-    given_term = (F.col("n_both") + F.lit(prior) * F.col("n_entity") / F.lit(n)) / (F.col("n_docs") + F.lit(prior))
-    mutual = information + F.log2(given_term)
-    strong = both.join(counts, "term").filter((information > 0) & (mutual >= share * information)).select("entity", "term")
-    return near.join(saved(strong), ["entity", "term"]).select("k1", "k2", "start", "stop").distinct()
+def disclosing_terms(docs: DataFrame, share: float = 0.9, prior: float = 1 / 3) -> DataFrame:
+    """k1, k2, terms (hashes): the terms that disclose an entity of the text, for every text that has some."""
+    held, copies = saved(_held(docs)), _copies(docs)
+    n = F.lit(float(max(_n_texts(docs, copies), 1)))
+    entities = held.select("k1", "k2", F.explode("entities").alias("entity"))
+    # Written, so that the join has a plain exchange on either side, which adaptive execution can split.
+    entities = entities.join(saved(entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))), "entity")
+    # Entities of one text have equal counts with every term: one stands for all of them in that text.
+    entity = F.when(F.col("n_entity") == 1, F.col("k1")).otherwise(F.col("entity"))
+    entities = saved(entities.select("k1", "k2", entity.alias("entity"), "n_entity").distinct())
+    terms = held.select("k1", "k2", F.explode("terms").alias("term"))
+    counts = _document_counts(docs, terms.select("term").distinct(), copies)
+
+    def discloses(n_both: Column) -> Column:
+        information = F.log2(n / F.col("n_entity"))
+        given_term = (n_both + F.lit(prior) * F.col("n_entity") / n) / (F.col("n_docs") + F.lit(prior))
+        return (information > 0) & (information + F.log2(given_term) >= share * information)
+
+    # No pair occurs more often than either side, so PMI with that count is an upper bound. Without smoothing, which
+    # only lowers PMI here, it asks for n_docs <= n ** (1 - share) * n_entity ** share, at most with `most` texts.
+    most = entities.agg(F.max("n_entity")).first()[0] or 0
+    able = F.col("n_docs") <= F.pow(n, F.lit(1 - share)) * F.lit(float(most) ** share) + 1
+    rare = terms.join(saved(counts.filter(able)), "term")
+    pairs = saved(rare.join(entities, ["k1", "k2"]).filter(discloses(F.least("n_entity", "n_docs"))))
+    both = pairs.groupBy("entity", "term", "n_entity", "n_docs").agg(F.count(F.lit(1)).alias("n_both"))
+    strong = saved(both.filter(discloses(F.col("n_both"))).select("entity", "term"))
+    return pairs.join(strong, ["entity", "term"]).groupBy("k1", "k2").agg(F.sort_array(F.collect_set("term")).alias("terms"))
 
 
 _SPANS = T.ArrayType(
@@ -203,32 +216,42 @@ def _listed(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, one))
 
 
-def _term_spans(docs: DataFrame, **parameters: float) -> DataFrame:
-    """k1, k2, terms: the spans that the method adds, per text. Written: joins can then be split by Spark."""
-    term = F.struct(F.col("start"), F.lit(KINDS.index("term")).alias("kind"), F.col("stop"))
-    return saved(disclosing_terms(docs, **parameters).groupBy("k1", "k2").agg(F.collect_list(term).alias("terms")))
+@F.pandas_udf(_SPANS)
+def _of_terms(texts: pd.Series, terms: pd.Series) -> pd.Series:
+    """Spans of all occurrences of `terms` (hashes) in each text, outside the base spans."""
+    kind = KINDS.index("term")
+
+    def one(text: str | None, found: np.ndarray | None) -> list[dict]:
+        if not text or found is None:
+            return []
+        found = set(map(int, found))
+        return [{"start": s, "kind": kind, "stop": e} for w, s, e in _terms_outside(text, base_spans(text)) if _term_hash(w) in found]
+
+    return pd.Series([one(t, x) for t, x in zip(texts, terms)], dtype=object)
 
 
-def _all_spans() -> Column:
-    return F.array_sort(F.concat("base", F.coalesce("terms", F.array().cast(_SPANS))))
+def _known_terms(docs: DataFrame, key: str, **parameters: float) -> DataFrame:
+    """`key` (k1, k2) and _terms, for the texts with disclosing terms; broadcast if small, else whole rows are shuffled."""
+    found = saved(disclosing_terms(docs, **parameters))
+    return broadcast_if_small(found.select(F.struct("k1", "k2").alias(key), F.col("terms").alias("_terms")), 100 + 8 * F.size("_terms"))
 
 
-def personal_data(docs: DataFrame, reach: int = 8, share: float = 0.9, prior: float = 1 / 3) -> DataFrame:
+def personal_data(docs: DataFrame, share: float = 0.9, prior: float = 1 / 3) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, n_term, spans for every row of `docs`.
 
     Null and empty texts have no spans. Repeated rows get equal results. Spans of one kind do not overlap;
     those of two kinds may. Other columns are ignored; an empty table gives no rows.
     """
-    terms = _term_spans(docs, reach=reach, share=share, prior=prior)
-    base = docs.select("doc_id", *text_keys(F.col("text")), _base("text").alias("base"))
-    out = base.join(terms, ["k1", "k2"], "left")
+    keyed = docs.select("doc_id", F.struct(*text_keys(F.col("text"))).alias("key"), "text")
+    terms = _known_terms(docs, "key", share=share, prior=prior)
+    out = keyed.join(terms, "key", "left").select("doc_id", _base("text").alias("base"), _of_terms("text", "_terms").alias("terms"))
     number = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == KINDS.index(kind))).cast("long").alias(f"n_{kind}")
     return out.select(
         "doc_id",
         *map(number, KINDS[:4]),
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
-        _listed(_all_spans()).alias("spans"),
-        F.coalesce(F.size("terms"), F.lit(0)).cast("long").alias("n_term"),
+        _listed(F.array_sort(F.concat("base", "terms"))).alias("spans"),
+        F.size("terms").cast("long").alias("n_term"),
     )
 
 
@@ -245,18 +268,14 @@ def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series([one(t, s) for t, s in zip(texts, spans)], dtype=object)
 
 
-def sanitised(docs: DataFrame, reach: int = 8, share: float = 0.9, prior: float = 1 / 3) -> DataFrame:
+def sanitised(docs: DataFrame, share: float = 0.9, prior: float = 1 / 3) -> DataFrame:
     """`docs` with every span of personal data replaced by its kind, as in [EMAIL]; no row is left out.
 
     n_chars, where there is such a column, follows the new text. Cases as in `personal_data`.
     """
-    terms = _term_spans(docs, reach=reach, share=share, prior=prior)
     keyed = docs.withColumn("_text_key", F.struct(*text_keys(F.col("text"))))
-    terms = terms.select(F.struct("k1", "k2").alias("_text_key"), F.col("terms").alias("_terms"))
-    # Beyond the limit whole rows are shuffled.
-    terms = broadcast_if_small(terms, 100 + 48 * F.size("_terms"))
-    joined = keyed.join(terms, "_text_key", "left").withColumn("_base", _base("text"))
-    spans = F.array_sort(F.concat("_base", F.coalesce("_terms", F.array().cast(_SPANS))))
+    joined = keyed.join(_known_terms(docs, "_text_key", share=share, prior=prior), "_text_key", "left")
+    spans = F.array_sort(F.concat(_base("text"), _of_terms("text", "_terms")))
     out = joined.withColumn("_clean", _without(F.col("text"), spans))
     columns = []
     for c in docs.columns:

@@ -289,6 +289,16 @@ def test_terms_of_entities_in_few_documents(spark, n):
             assert spans == ([f"term:{name}:{name + 12}"] if name >= 0 else [])
 
 
+def test_disclosing_terms_far_from_their_entity(spark):
+    """A name at the top and an address at the bottom meet, and every occurrence of the name goes, in any case."""
+    filler = " ".join(f"some words stand here in the middle {i}" for i in range(20))
+    rows = [(i, f"Quillfeather {i} says {filler} QUILLFEATHER and {filler} q@x.example.org") for i in range(4)]
+    rows += [(50 + i, f"someone {i} says {filler} and {filler}") for i in range(60)]
+    clean = {r.doc_id: r.text for r in disclosure.sanitised(cases.frame(spark, rows, extra=False)).collect()}
+    for doc, text in rows:
+        assert clean[doc] == text.replace("QUILLFEATHER", "[TERM]").replace("Quillfeather", "[TERM]").replace("q@x.example.org", "[EMAIL]")
+
+
 def test_toxicity_learns_without_the_holdout(spark):
     rows, labels = [], []
     for i in range(400):
