@@ -107,7 +107,8 @@ def train(docs: DataFrame, labels: DataFrame, parameters: Ftrl = Ftrl()) -> tupl
     """Non-zero weights: feature numbers, weights, bias.
 
     Learns from at most `max_rows` rows of either label outside the holdout, the first by a hash of the id;
-    rows with a null id or label are left out. Their texts are streamed through one task, so its memory is
+    rows with a null id or label are left out. The bias is corrected for the label that the bound thins out
+    more, so that scores follow the odds of all these rows. The texts are streamed through one task, so its memory is
     the model and a batch, whatever the size of the corpus. Without rows, or with one class only, the
     weights still are defined (the bias follows the only class).
     """
@@ -115,6 +116,10 @@ def train(docs: DataFrame, labels: DataFrame, parameters: Ftrl = Ftrl()) -> tupl
         "doc_id IS NOT NULL AND toxic IS NOT NULL"
     )
     usable = usable.filter(~in_holdout(F.col("doc_id"))).dropDuplicates(["doc_id"])
+    rows = {r.toxic: r.n for r in usable.filter("toxic IN (0, 1)").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # log(true odds / odds of the sample): each label's share of rows that are learned from.
+    share = [min(rows[k], parameters.max_rows) / rows[k] if rows.get(k) else 1.0 for k in (0, 1)]
+    correction = float(np.log(share[0] / share[1]))
     chosen = [usable.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(parameters.max_rows) for k in (0, 1)]
     # At most 2 * max_rows ids and labels: a bounded side.
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
@@ -133,7 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, parameters: Ftrl = Ftrl()) -> tupl
     row = sample.select("text", "toxic").mapInArrow(fit, "at binary, w binary, bias double").first()
     if row is None:
         return np.empty(0, np.int32), np.empty(0, np.float32), 0.0
-    return np.frombuffer(row.at, np.int32), np.frombuffer(row.w, np.float32), row.bias
+    return np.frombuffer(row.at, np.int32), np.frombuffer(row.w, np.float32), row.bias + correction
 
 
 def scores(docs: DataFrame, labels: DataFrame, parameters: Ftrl = Ftrl()) -> DataFrame:

@@ -317,6 +317,20 @@ def test_toxicity_learns_without_the_holdout(spark):
     assert {r.score for r in toxicity.toxicity(docs, table.limit(0)).collect()} == {0.5}
 
 
+def test_scores_follow_the_odds_of_all_labels(spark):
+    """Clean labels beyond the bound leave the rate of predicted = 1 as it is; texts without a cue score the base rate."""
+    rows = [(i, "" if i % 2 else "you vile grub" if i % 4 == 0 and i % 20 < 8 else "you kind soul") for i in range(6000)]
+    table = spark.createDataFrame([(i, int(i % 20 in (0, 4, 5, 15))) for i, _ in rows], "doc_id long, toxic int")
+    docs = cases.frame(spark, rows, extra=False)
+    whole, bound = (
+        toxicity.toxicity(docs, table, toxicity.Ftrl(max_rows=n)).groupBy("doc_id").agg(F.first("score").alias("s"), F.first("predicted").alias("p")).toPandas()
+        for n in (100_000, 900)
+    )
+    for found in (whole, bound):
+        assert found.p.mean() == 0.1
+        assert abs(found.s[found.doc_id % 2 == 1].mean() - 0.2) < 0.1
+
+
 HELD = {i for i in range(2000) if zlib.crc32(str(i).encode()) % 5 == 0}
 
 
