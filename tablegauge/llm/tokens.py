@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import tiktoken
@@ -17,15 +19,17 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 @lru_cache(maxsize=2)
 def encoder(ranks_path: str) -> tiktoken.Encoding:
-    """The byte-level BPE of a rank file; no string is a special token."""
+    """The byte-level BPE of a rank file, with the added tokens of the JSON file of that name beside it."""
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    added = json.loads(Path(ranks_path).with_suffix(".json").read_text(encoding="utf-8"))["added_tokens"]
+    special = {token["content"]: token["id"] for token in added}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def document_ids(encoding: tiktoken.Encoding, text: str | None, end_id: int = END_ID) -> np.ndarray:
     """Ids of a text and the end id, unsigned 32-bit; a null text has the end id only."""
-    ids = encoding.encode_ordinary(text) if text else []
+    ids = encoding.encode(text, allowed_special="all") if text else []
     ids.append(end_id)
     return np.array(ids, dtype="<u4")
 

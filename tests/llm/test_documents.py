@@ -173,6 +173,16 @@ def test_packing_is_an_exact_cut_of_the_ids(docs):
         assert at <= 64
 
 
+def test_ids_of_added_tokens_equal_tokenizers():
+    from tablegauge.llm.tokens import document_ids, encoder
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert document_ids(encoder(RANKS), "a <|endoftext|> b").tolist() == [64, 220, 50256, 275, 2]
+    for text in ("<|endoftext|>", "x<|endoftext|><|endoftext|>  y ", "<|endoftext|", "a  \n<|endoftext|>\n b", "<|ENDOFTEXT|>"):
+        assert document_ids(encoder(RANKS), text).tolist() == [*reference.encode(text, add_special_tokens=False).ids, 2]
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_best_fit_keeps_every_capacity(rule):
     whole = np.random.default_rng(5).integers(1, 65, 3000)
