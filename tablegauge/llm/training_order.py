@@ -3,12 +3,14 @@
 1. Documents become sequences of at most `length` ids, written once with their place (part, row).
 2. Counts per part give each sequence a number below N. A Feistel network with a secret key permutes
    the numbers; results of N or more are permuted again (cycle walking) until they are below N.
-3. Sequences move once, to the range of slots they belong to, and are sorted there. A slot's record
-   has a fixed length, so a reader seeks to any slot and resumes where it stopped.
+3. Sequences move once, to the range of whole shards they belong to, are sorted there and written as
+   files, one per shard. A slot's record has a fixed length, so a reader seeks to any slot and resumes
+   where it stopped.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -20,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablegauge.llm.common import saved
+from tablegauge.llm.common import saved, shared_dir
 from tablegauge.llm.tokens import END_ID, document_ids, encoder, piece_bounds
 
 _U = np.uint64
@@ -90,8 +92,12 @@ def training_order(
     shard_slots: int = 4096,
     pad_id: int = 0,
     end_id: int = END_ID,
+    path: str | None = None,
 ) -> DataFrame:
-    """All sequences in training order, one row each, sorted by slot within range partitions.
+    """All sequences in training order, written as shards (see `read_slots`), one row each, read from them.
+
+    The shards are `path/<shard>.bin`; `path` is a folder or URI that all executors reach, by default a new one in
+    the shared folder. They are written when this is called; rows of a shard are sorted by slot.
 
     Columns: slot (0..N-1, each once), shard and place (slot // shard_slots and the rest), doc_id,
     piece, n_ids, ids_crc32 (of the ids without padding, 16 bits each) and record (2 * length bytes,
@@ -108,55 +114,117 @@ def training_order(
     def slot_of(numbers: pd.Series) -> pd.Series:
         return pd.Series(permuted(numbers.to_numpy(), n, key))
 
-    @F.pandas_udf("record binary, ids_crc32 long")
-    def padded(ids: pd.Series) -> pd.DataFrame:
-        pad = np.full(length, pad_id, dtype="<u2").tobytes()
-        return pd.DataFrame({"record": [x + pad[len(x) :] for x in ids], "ids_crc32": [zlib.crc32(x) for x in ids]})
-
     # About 32 MB of ids in a partition, in whole shards.
     shards = -(-max(n, 1) // shard_slots)
     partitions = max(1, min(shards, -(-n * 2 * length // (32 << 20))))
     numbered = sequences.join(bases.select("part", "base"), "part").withColumn("slot", slot_of(F.col("base") + F.col("row")))
     placed = (
         numbered.withColumn("shard", F.expr(f"slot div {shard_slots}"))
-        .select("slot", "shard", F.pmod("slot", F.lit(shard_slots)).alias("place"), "doc_id", "piece", "ids")
-        .repartitionByRange(partitions, "shard", "slot")
+        .select("slot", "shard", "doc_id", "piece", "ids")
+        .repartitionByRange(partitions, "shard")  # a shard is in one partition as a whole
         .sortWithinPartitions("slot")
     )
-    return placed.withColumn("out", padded("ids")).select(
-        "slot", "shard", "place", "doc_id", "piece",
-        F.expr("octet_length(ids) div 2").cast("long").alias("n_ids"), "out.ids_crc32", "out.record",
-    )
+    path = path or f"{shared_dir(docs.sparkSession)}/{uuid.uuid4().hex}-shards"
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    pad = np.full(length, pad_id, dtype="<u2").tobytes()
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shards = _Shards(path)
+        listed: dict[str, list] = {"doc_id": [], "piece": [], "n_ids": []}
+
+        def index(shard: int | None) -> Iterator[pa.RecordBatch]:
+            if shard is not None:
+                lists = [pa.array([v], pa.list_(t)) for v, t in zip(listed.values(), types)]
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), *lists], names=["shard", *listed])
+                for values in listed.values():
+                    values.clear()
+
+        for batch in batches:
+            types = [batch.schema.field("doc_id").type, pa.int32(), pa.int64()]
+            columns = (batch.column(c).to_pylist() for c in ("shard", "doc_id", "piece", "ids"))
+            for shard, doc_id, piece, ids in zip(*columns):
+                if shard != shards.shard:
+                    yield from index(shards.close())
+                shards.write(shard, ids + pad[len(ids) :])
+                for values, value in zip(listed.values(), (doc_id, piece, len(ids) // 2)):
+                    values.append(value)
+        yield from index(shards.close())
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, root = _filesystem(path)
+        stride = 2 * length
+        for batch in batches:
+            doc_ids, pieces, n_ids = (batch.column(c) for c in ("doc_id", "piece", "n_ids"))
+            for i, shard in enumerate(batch.column("shard").to_pylist()):
+                numbers = n_ids[i].as_py()
+                with target.open_input_file(f"{root}/{shard}.bin") as data:
+                    if data.size() != len(numbers) * stride:
+                        raise ValueError(f"shard {shard} is not whole")
+                    for at in range(0, len(numbers), 512):
+                        m = min(512, len(numbers) - at)
+                        raw = data.read(m * stride)
+                        records = [raw[k * stride : (k + 1) * stride] for k in range(m)]
+                        place = np.arange(at, at + m)
+                        crc = [zlib.crc32(x[: 2 * k]) for x, k in zip(records, numbers[at : at + m])]
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(shard * shard_slots + place), pa.array([shard] * m, pa.int64()), pa.array(place),
+                                doc_ids[i].values.slice(at, m), pieces[i].values.slice(at, m),
+                                n_ids[i].values.slice(at, m), pa.array(crc, pa.int64()), pa.array(records, pa.binary()),
+                            ],
+                            names=["slot", "shard", "place", "doc_id", "piece", "n_ids", "ids_crc32", "record"],
+                        )
+
+    written = saved(placed.mapInArrow(write, f"shard long, doc_id array<{kind}>, piece array<int>, n_ids array<long>"))
+    return written.mapInArrow(
+        read, f"slot long, shard long, place long, doc_id {kind}, piece int, n_ids long, ids_crc32 long, record binary"
+    )
+
+
+def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+class _Shards:
+    """Writes shards one after the other, each under a name of this attempt that is then renamed."""
+
+    def __init__(self, path: str) -> None:
+        self.target, self.root = _filesystem(path)
+        self.target.create_dir(self.root, recursive=True)
+        self.attempt, self.shard, self.out = TaskContext.get().taskAttemptId(), None, None
+
+    def write(self, shard: int, record: bytes) -> None:
+        if self.out is None:
+            self.shard, self.out = shard, self.target.open_output_stream(f"{self.root}/.{shard}-{self.attempt}")
+        self.out.write(record)
+
+    def close(self) -> int | None:
+        """The shard that is whole now, if one was open."""
+        shard = self.shard
+        if self.out is not None:
+            self.out.close()
+            self.target.move(f"{self.root}/.{shard}-{self.attempt}", f"{self.root}/{shard}.bin")
+        self.shard = self.out = None
+        return shard
 
 
 def write_shards(ordered: DataFrame, path: str, length: int = 1024, shard_slots: int = 4096) -> DataFrame:
-    """Write the records as files `path/<shard>.bin` of fixed stride; returns shard and n_slots of each.
+    """Write the records of rows in training order once more, to another folder; returns shard and n_slots of each.
 
     A shard is written by one task, under a name of its own attempt that is then renamed, so a task that is
     run again replaces the file whole. `path` is a folder or URI that all executors reach.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, root = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-        target.create_dir(root, recursive=True)
-        shard, out, n, done = None, None, 0, []
-        attempt = TaskContext.get().taskAttemptId()
-
-        def close() -> None:
-            if out is not None:
-                out.close()
-                target.move(f"{root}/.{shard}-{attempt}", f"{root}/{shard}.bin")
-                done.append((shard, n))
-
+        shards, n, done = _Shards(path), 0, []
         for batch in batches:
             for this, record in zip(batch.column("shard").to_pylist(), batch.column("record").to_pylist()):
-                if this != shard:
-                    close()
-                    shard, n = this, 0
-                    out = target.open_output_stream(f"{root}/.{shard}-{attempt}")
-                out.write(record)
+                if this != shards.shard:
+                    done.append((shards.close(), n))
+                    n = 0
+                shards.write(this, record)
                 n += 1
-        close()
+        done = [x for x in [*done, (shards.close(), n)] if x[0] is not None]
         if done:
             yield pa.RecordBatch.from_pydict(
                 {"shard": pa.array([s for s, _ in done], pa.int64()), "n_slots": pa.array([k for _, k in done], pa.int64())}
@@ -168,7 +236,7 @@ def write_shards(ordered: DataFrame, path: str, length: int = 1024, shard_slots:
 
 def read_slots(path: str, start: int, length: int = 1024, shard_slots: int = 4096) -> Iterator[np.ndarray]:
     """Records from slot `start` on, shard by shard, to the end: what a trainer that resumes reads."""
-    target, root = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    target, root = _filesystem(path)
     stride = 2 * length
     shard, place = divmod(start, shard_slots)
     while target.get_file_info(f"{root}/{shard}.bin").type == fs.FileType.File:

@@ -225,6 +225,16 @@ def test_training_order_is_a_round_trip(docs, tmp_path):
         assert [x.tobytes() for x in read] == [bytes(r.record) for r in rows[start:]]
 
 
+def test_training_order_writes_its_shards(docs, tmp_path):
+    path = str(tmp_path / "order")
+    rows = sorted(training_order.training_order(docs, RANKS, key=7, length=32, shard_slots=16, path=path).collect(), key=lambda r: r.slot)
+    read = list(training_order.read_slots(path, 0, length=32, shard_slots=16))
+    assert [x.tobytes() for x in read] == [bytes(r.record) for r in rows] and len(rows) > 32
+    assert all(r.ids_crc32 == zlib.crc32(bytes(r.record)[: 2 * r.n_ids]) for r in rows)
+    names = {p.name for p in (tmp_path / "order").iterdir()}
+    assert names == {f"{k}.bin" for k in range(-(-len(rows) // 16))}
+
+
 PRIVATE = [
     (1, "mail a.b@c.example.com, a@b no, x@y.z@q.r.s end"),
     (2, "ip 1.2.3.4 and 300.1.1.1 and 1.2.3.4.5.6.7.8 and 0001.02.3.255"),
