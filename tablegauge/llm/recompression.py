@@ -3,7 +3,7 @@
 Every text is rewritten in rounds. A round names runs of two equal symbols and pairs of a symbol from
 the left half of the alphabet and one from the right half; the name is a hash, so all of the corpus
 uses the same names, and a coin per symbol and round gives the halves. Whether two symbols are merged
-depends on two neighbours to either side, so equal passages get equal symbols but for a margin. The
+depends on three neighbours to either side, so equal passages get equal symbols but for a margin. The
 number of rounds is the largest for which every window holds a symbol that is not in its margin.
 
 A window's anchor is the symbol of the least name inside it, with the words of its margins, which the
@@ -43,9 +43,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def rounds_for(window: int) -> tuple[int, int]:
     """Rounds, and the margin in words that a symbol needs to either side."""
     rounds = 0
-    while window - 4 * (2 ** (rounds + 1) - 1) >= 2 * 2 ** (rounds + 1) - 1:
+    while window - 6 * (2 ** (rounds + 1) - 1) >= 2 * 2 ** (rounds + 1) - 1:
         rounds += 1
-    return rounds, 2 * (2**rounds - 1)
+    return rounds, 3 * (2**rounds - 1)
 
 
 def compress_round(names: np.ndarray, starts: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:

@@ -102,6 +102,23 @@ def test_equal_passages_keep_equal_names_inside():
     assert parsed[0] == parsed[1] and parsed[0]
 
 
+def test_equal_periodic_passages_keep_equal_names_inside():
+    """As above, where the words before the passage decide whether its period is a run of two or of three."""
+    rng = np.random.default_rng(4)
+    rounds, margin = recompression.rounds_for(35)
+    for _ in range(1000):
+        a, b, x, *rest = rng.integers(0, 2**63, 32).astype(np.uint64)
+        shared, parsed = [a, b, a, b, a, b, *rest], []
+        for before in ([x, a], [x]):
+            names, starts, n = np.array(before + shared, dtype=np.uint64), np.arange(len(before) + 35), len(before)
+            for k in range(rounds):
+                names, starts = recompression.compress_round(names, starts, k)
+            ends = np.append(starts[1:], n + 35)
+            inside = (starts >= n + margin) & (ends <= n + 35 - margin)
+            parsed.append([(int(p) - n, int(q)) for p, q in zip(starts[inside], names[inside])])
+        assert parsed[0] == parsed[1] and parsed[0]
+
+
 ITEMS = [
     (1, " ".join(ROWS[10][1].split()[2:24])),
     (2, " ".join(ROWS[12][1].upper().split()[:14])),
