@@ -24,8 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Elements whose content is no text of the page.
-SKIPPED = {"script", "style", "noscript", "template", "head", "title", "svg", "math", "iframe", "object", "textarea", "select", "canvas", "audio", "video"}
+#: Elements of raw text, which only their end tag ends, and other elements whose content is no text of the page.
+RAW = {"script", "style", "title", "textarea"}
+MUTE = {"noscript", "template", "head", "svg", "iframe", "object", "select", "canvas", "audio", "video"}
+#: Of these, the elements that can hold one of their own kind.
+_NESTING = {"template", "svg", "object"}
 #: Elements that begin and end a block of text.
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl",
@@ -51,8 +54,7 @@ _TOKEN = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*+(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>)", re.S
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|aria-hidden|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-#: A-Z in lower case, without changing the length of a text.
-ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I | re.A) for tag in RAW}
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SENTENCE = re.compile(r"[.!?…][\"'»”)]*(?:\s|$)")
@@ -87,6 +89,45 @@ def _hint(tag: str, attributes: str, inside: int) -> int:
     return inside
 
 
+def _after_raw(page: str, tag: str, at: int) -> int:
+    """Where the end tag of a raw element starts, or the end of the page."""
+    end = _RAW_END[tag].search(page, at)
+    return end.start() if end else len(page)
+
+
+def _after_mute(page: str, tag: str, at: int, around: set[str]) -> tuple[int | None, int]:
+    """Where a mute element of an end tag of its own ends, else None; and how far the page was searched.
+
+    It has none when its kind, which cannot hold itself, or the body starts first, or an element `around` it ends.
+    """
+    depth, inner = 1, []
+    while match := _TOKEN.search(page, at):
+        at = match.end()
+        name = (match[2] or "").lower()
+        if name in RAW and not match[1] and not match[3].endswith("/"):
+            at = _after_raw(page, name, at)
+        elif name == tag:
+            if match[1]:
+                depth -= 1
+                if not depth:
+                    return at, at
+            elif tag not in _NESTING:
+                return None, match.start()
+            elif not match[3].endswith("/"):
+                depth += 1
+        elif name in BLOCKS and name not in VOID:
+            if name == "body" and not match[1]:
+                return None, match.start()
+            if not match[1]:
+                inner.append(name)
+            elif name in inner:
+                while inner.pop() != name:
+                    pass
+            elif name in around:
+                return None, match.start()
+    return None, len(page)
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """The text blocks of a page in order, with character references decoded and white space made single."""
     out: list[Block] = []
@@ -95,7 +136,8 @@ def blocks_of(page: str | None) -> list[Block]:
     stack: list[tuple[str, int, int]] = []  # tag, number of the element, hint
     parts: list[str] = []
     linked = in_link = number = at = 0
-    low = ""
+    mute = ""  # the open element without text of its own: head, or one without its end tag
+    searched: dict[str, int] = {}
 
     def flush() -> None:
         nonlocal linked
@@ -109,7 +151,7 @@ def blocks_of(page: str | None) -> list[Block]:
 
     def add(text: str) -> None:
         nonlocal linked
-        if text:
+        if text and not mute:
             parts.append(text)
             if in_link:
                 linked += len(text)
@@ -127,14 +169,29 @@ def blocks_of(page: str | None) -> list[Block]:
         tag = (match[2] or "").lower()
         if not tag:
             continue
-        if tag in SKIPPED:
+        if tag in RAW:
             if not match[1] and not match[3].endswith("/"):
-                end = page.find(f"</{tag}", at)
-                if end < 0:  # perhaps in capitals
-                    low = low or page.translate(ASCII_LOWER)
-                    end = low.find(f"</{tag}", at)
-                at = len(page) if end < 0 else end
+                at = _after_raw(page, tag, at)
+            continue
+        if tag in MUTE:
+            if match[1]:
+                mute = "" if mute == tag else mute
+            elif tag == "head":
+                mute = tag
+            elif not match[3].endswith("/"):
+                # A part of the page that was searched in vain is not searched again.
+                end = None
+                if at >= searched.get(tag, 0):
+                    end, searched[tag] = _after_mute(page, tag, at, {x[0] for x in stack})
+                if end is None:
+                    mute = tag
+                else:
+                    at = end
             continue
+        if mute and tag in BLOCKS and not (mute == "select" and tag == "option"):
+            # A block starts, or the parent ends: end tags that close nothing do not count.
+            if not match[1] or any(x[0] == tag for x in stack):
+                mute = ""
         if tag == "a":
             in_link = 0 if match[1] else 1
         elif tag == "br":

@@ -43,6 +43,21 @@ def test_blocks_keep_all_text_of_plain_markup():
     assert long[0].text == ("word " * 50_000).strip()
 
 
+def test_text_after_elements_without_end_tags():
+    def texts(page):
+        return [b.text for b in html_mincut.blocks_of(page)]
+
+    assert texts("<html><head><title>T</title><body><article><p>One.<p>Two.</article>") == ["One.", "Two."]
+    assert texts("<head><title>T</title><meta charset=utf-8><body><p>One.</p><header>Top</header><p>Two.</p>") == ["One.", "Top", "Two."]
+    for tag in ("select", "noscript", "svg", "object", "canvas", "audio", "video", "template", "iframe"):
+        assert texts(f"<div><p>One.</p><{tag}>gone<p>Two.</p></div><p>Three.</p>") == ["One.", "Two.", "Three."]
+        assert texts(f"<div>One.<{tag}>gone</div>Two.<{tag}><p>gone</p></{tag.upper()} > Three.") == ["One.", "Two. Three."]
+    assert texts("<p>Let <math><mi>x</mi></math> be.</p>") == ["Let x be."]
+    assert texts("<p>One.</p><title>T</titles><p>gone</p></title><p>Two.</p><script>'</scripts>'</SCRIPT><p>Three.") == ["One.", "Two.", "Three."]
+    assert texts("<p>One.<svg><svg><p>gone</p></svg><p>gone</p></svg> more<p>Two.<script>gone") == ["One. more", "Two."]
+    assert texts("<svg>" * 20_000 + "<p>One.") == ["One."]
+
+
 def test_minimum_cut_equals_all_labellings():
     rng = random.Random(2)
     for _ in range(60):
