@@ -68,10 +68,53 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), FALSE) AS contaminated
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
+#: crc32 of a decimal number: its ASCII digits through the reflected polynomial, bit by bit.
+_CRC = """xor(list_reduce(list_transform(range(1, CAST(length(CAST({0} AS VARCHAR)) AS BIGINT) + 1), lambda i: CAST(ascii(substr(CAST({0} AS VARCHAR), i, 1)) AS BIGINT)),
+ lambda crc, byte: list_reduce(range(1, 9), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, byte)), 4294967295), 4294967295)"""
+
+_OP12 = rf"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_SPACED}) AS w, {_CRC.format("doc_id")} AS h FROM documents),
+s AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AS again, (h // 10) % greatest(len(w), 1) AS a, (h // 10) % 8 AS e FROM d),
+places AS (SELECT doc_id, n, i, w[1 + CASE WHEN again AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + e)) ELSE i END] AS word
+ FROM s, unnest(range(0, n)) t(i)),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM places x JOIN places y ON x.doc_id = y.doc_id AND x.word = y.word
+ AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+runs AS (SELECT doc_id, start, length, min(q) AS q FROM stretches GROUP BY doc_id, start, length),
+of_doc AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS listed,
+ first(start ORDER BY length / q DESC, start, q) AS start, first(length ORDER BY length / q DESC, start, q) AS length,
+ first(q ORDER BY length / q DESC, start, q) AS q FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM places LEFT JOIN gone USING (doc_id, i) WHERE gone.i IS NULL GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(q AS BIGINT) AS period,
+ CAST(1000 * length // q AS BIGINT) AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN of_doc USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+_OP13 = rf"""WITH RECURSIVE t AS (SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS name,
+ len(regexp_extract_all(coalesce(text, ''), {_SPACED})) AS words, turn FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(name ORDER BY turn NULLS FIRST, name) AS names, list(words ORDER BY turn NULLS FIRST, name) AS words FROM t GROUP BY conv_id),
+h AS (SELECT *, CAST({_CRC.format("conv_id")} % 4 AS BIGINT) AS h FROM own),
+built AS (SELECT h.conv_id, coalesce(b.names, [])[1:h] || h.names[h + 1:] AS names, coalesce(b.words, [])[1:h] || h.words[h + 1:] AS words
+ FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 20),
+prefixes AS (SELECT conv_id, d, array_to_string(names[1:d], '') AS key, words[d] AS words, d = len(names) AS ends,
+ CASE WHEN d > 0 THEN array_to_string(names[1:d - 1], '') END AS parent FROM built, unnest(range(0, len(names) + 1)) u(d)),
+nodes AS (SELECT d, key, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n, any_value(words) AS words,
+ sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256 FROM prefixes GROUP BY d, key),
+children AS (SELECT parent AS key, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY parent),
+counted AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (key)),
+up(key, parent, leaf, saved) AS (SELECT key, parent, CAST(n_children = 0 AS BIGINT), CAST((n - 1) * coalesce(words, 0) AS BIGINT) FROM counted
+ UNION ALL SELECT p.key, p.parent, up.leaf, up.saved FROM up JOIN counted p ON p.key = up.parent),
+sums AS (SELECT key, sum(leaf) AS n_leaves, sum(saved) AS saved FROM up GROUP BY key)
+SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n AS n_convs, c.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+ CAST(saved AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN sums USING (key) LEFT JOIN nodes p ON p.key = c.parent"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_bbit_minhash": _OP4,
     "op6_recompression": _OP6,
     "op7_kd_trees": _OP7,
     "op8_url_bloom": _OP8,
     "op10_winnowing": _OP10,
+    "op12_periodic_runs": _OP12,
+    "op13_prefix_trie": _OP13,
 }

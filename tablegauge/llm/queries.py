@@ -14,6 +14,8 @@ from tablegauge.llm import (
     disclosure,
     html_mincut,
     kd_search,
+    periodic_runs,
+    prefix_trie,
     recompression,
     toxicity,
     url_bloom,
@@ -93,6 +95,42 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.decontamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    docs = load(spark, sf_dir, "documents")
+    # One document in ten goes on from word a with its words from a to a + p, again and again.
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.col("text"), F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    changed = docs.select("doc_id", "text", F.when((h % 10 == 0) & F.col("text").isNotNull(), words).alias("w"), F.floor(h / 10).alias("g"))
+    n = F.size("w")
+    changed = changed.withColumn("a", F.when(n > 0, (F.col("g") % n).cast("int")))
+    changed = changed.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    repeated = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get("w", F.col("a") + F.pmod(i - F.col("a"), F.col("p")))))
+    text = F.when(n > 0, F.array_join(repeated, " ")).otherwise(F.col("text"))
+    found = periodic_runs.periodic_runs(changed.select("doc_id", text.alias("text")), min_words=24, exponent=3)
+    # Runs are in order of start, then period, so the first of equal exponents stays.
+    longer = lambda best, r: r["length"] * best["period"] > best["length"] * r["period"]
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, r: F.when(longer(best, r), r).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("kept_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    own = prefix_trie.sequences(load(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(own, block=20, most=4))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -106,5 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_bloom,
         op9_disclosure,
         op10_winnowing,
+        op12_periodic_runs,
+        op13_prefix_trie,
     )
 }

@@ -12,7 +12,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_duckdb(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for table in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')")
     result = QUERIES[name](spark, SF_DIR)
     columns = sorted(result.columns)
