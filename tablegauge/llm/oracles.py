@@ -68,6 +68,19 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), FALSE) AS contaminated
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
+_OP11 = rf"""WITH RECURSIVE d AS (
+ SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_SPACED}) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS g
+ FROM d, unnest(range(1, greatest(len(w) - 3, 1) + 1)) t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 85 * (p.n + q.n - k)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (SELECT doc_id, doc_id FROM d
+ UNION SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON r.other = l.a),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM least LEFT JOIN n USING (doc_id)"""
+
 #: crc32 of a decimal number: its ASCII digits through the reflected polynomial, bit by bit.
 _CRC = """xor(list_reduce(list_transform(range(1, CAST(length(CAST({0} AS VARCHAR)) AS BIGINT) + 1), lambda i: CAST(ascii(substr(CAST({0} AS VARCHAR), i, 1)) AS BIGINT)),
  lambda crc, byte: list_reduce(range(1, 9), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, byte)), 4294967295), 4294967295)"""
@@ -115,6 +128,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_kd_trees": _OP7,
     "op8_url_bloom": _OP8,
     "op10_winnowing": _OP10,
+    "op11_prefix_join": _OP11,
     "op12_periodic_runs": _OP12,
     "op13_prefix_trie": _OP13,
 }

@@ -15,6 +15,7 @@ from tablegauge.llm import (
     html_mincut,
     kd_search,
     periodic_runs,
+    prefix_join,
     prefix_trie,
     recompression,
     toxicity,
@@ -95,6 +96,11 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.decontamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return prefix_join.similar_documents(load(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = load(spark, sf_dir, "documents")
@@ -144,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_bloom,
         op9_disclosure,
         op10_winnowing,
+        op11_prefix_join,
         op12_periodic_runs,
         op13_prefix_trie,
     )

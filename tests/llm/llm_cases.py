@@ -96,3 +96,43 @@ def decontamination(rows, items, span):
         digest = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
         out[doc] = (len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w))
     return out
+
+
+def periodic_runs(words, min_words, exponent):
+    """(start, length, period) of the runs of a list of words, period by period."""
+    least = {}
+    for q in range(1, len(words) // exponent + 1):
+        i = 0
+        while i + q < len(words):
+            start = i
+            while i + q < len(words) and words[i] == words[i + q]:
+                i += 1
+            if i - start + q >= max(min_words, exponent * q) and i > start:
+                least.setdefault((start, i - start + q), q)
+            i += i == start
+    return sorted(((s, n, q) for (s, n), q in least.items()), key=lambda r: (r[0], r[2]))
+
+
+def prefix_trie(seqs):
+    """Rows of the trie of conv_id -> list of (turn's content, words), from the sets of all prefixes."""
+    members = defaultdict(list)
+    for conv, turns in seqs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(conv)
+    out = []
+    for prefix, convs in members.items():
+        below = [p for p in members if p[: len(prefix)] == prefix]
+        ends = sorted(c for c in convs if len(seqs[c]) == len(prefix))
+        out.append(
+            (
+                min(convs),
+                len(prefix),
+                min(members[prefix[:-1]]) if prefix else None,
+                len(convs),
+                sum(len(p) == len(prefix) + 1 for p in below),
+                sum(not any(len(o) == len(p) + 1 and o[:-1] == p for o in below) for p in below),
+                sum((len(members[p]) - 1) * p[-1][1] for p in below if p),
+                hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest(),
+            )
+        )
+    return sorted(out, key=str)
