@@ -34,6 +34,13 @@ class ProfiledTables:
 
 # The tables a run covers, by their attribute in ProfiledTables.
 TABLES = ("spine", "xref", "behavior", "contact")
+# Their names in audits.
+_NAMES = (
+    seeds.PERSON_SPINE[0],
+    seeds.PERSON_IDENTIFIER_XREF[0],
+    seeds.CUSTOMER_BEHAVIOR_DAILY[0],
+    seeds.PERSON_CONTACT_PROFILE[0],
+)
 
 
 def table_summary(
@@ -160,32 +167,46 @@ def record_audit(
     as_of_ts: datetime,
     *,
     keys: Sequence[str] = TABLE_KEYS,
+    rerun: str = "refuse",
 ) -> None:
-    """Audit one table under any suite and append the outcome to a path or catalog table.
+    """Audit one table under any suite and record the outcome in a path or catalog table.
 
-    A run that is recorded for this table already is refused (`RunRecorded`).
+    A run that is recorded for this table already is refused (`RunRecorded`), or replaced if asked.
     """
-    _record(dq_audit(dq_summary(df, suite), thresholds, as_of_ts, keys=keys), target)
+    audit = dq_audit(dq_summary(df, suite), thresholds, as_of_ts, keys=keys)
+    _record(audit, target, as_of_ts, (suite.table_name,), rerun)
 
 
 def record_freshness(
-    summary: DataFrame, rules: DataFrame, target: str, as_of_ts: datetime, *, grade: str = "exact"
+    summary: DataFrame,
+    rules: DataFrame,
+    target: str,
+    table_name: str,
+    as_of_ts: datetime,
+    *,
+    grade: str = "exact",
+    rerun: str = "refuse",
 ) -> None:
-    """Audit one freshness summary (of `run_freshness` or `lag_freshness`) and append the outcome.
+    """Audit the freshness summary of a table (of `run_freshness` or `lag_freshness`) and record the outcome.
 
-    A table and decision that is recorded at the same `checked_ts` already is refused.
+    A table that is recorded at the same clock already is refused, or replaced if asked.
     """
-    _record_freshness(freshness_audit(summary, rules, as_of_ts, grade=grade), target)
+    audit = freshness_audit(summary, rules, as_of_ts, grade=grade)
+    _record_freshness(audit, target, as_of_ts, (table_name,), rerun)
 
 
-def _record(audit: DataFrame, target: str) -> None:
-    run = ["dq_run_id", "pipeline_name"]
-    audit_store.record_run(audit, target, schemas.DQ_AUDIT, run, "business_date")
+def _record(
+    audit: DataFrame, target: str, as_of_ts: datetime, names: tuple[str, ...], rerun: str
+) -> None:
+    run = audit_store.Run(as_of_ts, names, "pipeline_name", "business_date")
+    audit_store.record_run(audit, target, schemas.DQ_AUDIT, run, rerun)
 
 
-def _record_freshness(audit: DataFrame, target: str) -> None:
-    run = ["checked_ts", "target_table", "decision_id"]
-    audit_store.record_run(audit, target, schemas.FRESHNESS_AUDIT, run)
+def _record_freshness(
+    audit: DataFrame, target: str, as_of_ts: datetime, names: tuple[str, ...], rerun: str
+) -> None:
+    run = audit_store.Run(as_of_ts, names, "target_table", "checked_date")
+    audit_store.record_run(audit, target, schemas.FRESHNESS_AUDIT, run, rerun)
 
 
 def record_dq_audit(
@@ -195,17 +216,23 @@ def record_dq_audit(
     as_of_ts: datetime,
     *,
     fk_mode: str = "null_aware",
+    rerun: str = "refuse",
 ) -> None:
-    """Audit all tables against the latest thresholds and append the outcome; once per run."""
+    """Audit all tables against the latest thresholds and record the outcome; once per run."""
     thresholds = config_store.read_config(spark, store.thresholds, schemas.THRESHOLDS)
     audit = dq_audit_all(tables, thresholds, as_of_ts, fk_mode=fk_mode)
-    _record(audit, store.dq_audit)
+    _record(audit, store.dq_audit, as_of_ts, _NAMES, rerun)
 
 
 def record_freshness_audit(
-    spark: SparkSession, tables: ProfiledTables, store: Store, as_of_ts: datetime
+    spark: SparkSession,
+    tables: ProfiledTables,
+    store: Store,
+    as_of_ts: datetime,
+    *,
+    rerun: str = "refuse",
 ) -> None:
-    """Audit the freshness of all tables against the latest rules and append it; once per run."""
+    """Audit the freshness of all tables against the latest rules and record it; once per run."""
     rules = config_store.read_config(spark, store.freshness_rules, schemas.FRESHNESS_RULES)
     audit = freshness_audit_all(tables, rules, as_of_ts)
-    _record_freshness(audit, store.freshness_audit)
+    _record_freshness(audit, store.freshness_audit, as_of_ts, _NAMES, rerun)

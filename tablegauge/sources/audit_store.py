@@ -1,7 +1,10 @@
-"""Append-only audit tables, as files under a path or as catalog tables."""
+"""Audit tables, as files under a path or as catalog tables: plain appends, and runs that own partitions."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import date, datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,30 +61,118 @@ def append_audit_table(df: DataFrame, name: str, schema: T.StructType) -> None:
     conform(df, schema).write.format("parquet").mode("append").saveAsTable(name)
 
 
+def partition_columns(target: str, spark: SparkSession) -> list[str]:
+    """The columns that a catalog table is partitioned by."""
+    return [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
+
+
+@dataclass(frozen=True)
+class Run:
+    """What a run writes: one partition for each name (a table that was audited).
+
+    `day` and `stamp` come from the run's clock, not from data, so the partitions of a run are known before
+    the audit is computed, and a rerun finds them again.
+    """
+
+    moment: datetime
+    names: tuple[str, ...]
+    name_column: str
+    day_column: str
+
+    @property
+    def day(self) -> date:
+        return self.moment.date()
+
+    @property
+    def stamp(self) -> str:
+        return self.moment.strftime("%Y%m%d%H%M%S%f")
+
+    @property
+    def partition_by(self) -> list[str]:
+        return [self.day_column, RUN_COLUMN, self.name_column]
+
+    def rows(self, df: DataFrame, schema: T.StructType) -> DataFrame:
+        """Conforming rows with the partition columns last, as partitioned tables have them."""
+        rows = conform(df, schema).withColumn(RUN_COLUMN, F.lit(self.stamp))
+        if self.day_column not in schema.fieldNames():
+            rows = rows.withColumn(self.day_column, F.lit(self.day))
+        plain = [c for c in rows.columns if c not in self.partition_by]
+        return rows.select(*plain, *self.partition_by)
+
+
+#: Partition column of a run's clock.
+RUN_COLUMN = "audit_run"
+
+RERUN = ("refuse", "replace")
+
+
+def recorded(spark: SparkSession, target: str, run: Run) -> DataFrame:
+    """The names of the run that the audit holds rows of; reads the run's partitions only.
+
+    Of files, no more than the day's folder is listed.
+    """
+    schema = T.StructType(
+        [
+            T.StructField(run.day_column, T.DateType()),
+            T.StructField(RUN_COLUMN, T.StringType()),
+            T.StructField(run.name_column, T.StringType()),
+        ]
+    )
+    if is_path(target):
+        day = f"{target.rstrip('/')}/{run.day_column}={run.day.isoformat()}"
+        held = spark.read.schema(schema).option("basePath", target).parquet(day)
+    else:
+        held = spark.table(target)
+    mine = (F.col(RUN_COLUMN) == run.stamp) & F.col(run.name_column).isin(*run.names)
+    return held.filter((F.col(run.day_column) == F.lit(run.day)) & mine).select(run.name_column)
+
+
+def _missing(problem: AnalysisException) -> bool:
+    return problem.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
+
+
 def record_run(
-    df: DataFrame,
-    target: str,
-    schema: T.StructType,
-    run: list[str],
-    partition_by: str | None = None,
+    df: DataFrame, target: str, schema: T.StructType, run: Run, rerun: str = "refuse"
 ) -> None:
-    """Append the audit rows of a run to a path or catalog table, once.
-
-    `run` are the columns that name a run. If the audit holds a row of one of the runs already, nothing
-    is written and `RunRecorded` is raised, so a job that is run again does not double its audit. It is a
-    test before a write: writers of the same run at the same time are not kept apart.
+    """Write the audit rows of a run to a path or catalog table, once.
+
+    A run owns its partitions. Where the audit holds rows of it already, `refuse` raises `RunRecorded`
+    before anything is computed, and `replace` puts the new rows in place of the old. Either way the write
+    overwrites just the partitions it fills, each through a staging folder of its own: writers of different
+    runs do not disturb each other, and of writers of the same run that get past the test together the last
+    one's rows stand, once. Plain files know no locks, so such writers should still not commit a partition in
+    the very same moment. A rerun that finds no rows for a table leaves that table's earlier rows.
     """
+    if rerun not in RERUN:
+        raise ValueError(f"rerun must be one of {RERUN}, not {rerun!r}")
     spark = df.sparkSession
-    try:
-        held = read_audit(spark, target, schema) if is_path(target) else spark.table(target)
-    except AnalysisException as problem:
-        if problem.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
-            raise
-    else:
-        again = df.select(*run).distinct().join(held.select(*run), run, "left_semi").first()
+    if rerun == "refuse":
+        try:
+            again = recorded(spark, target, run).first()
+        except AnalysisException as problem:
+            if not _missing(problem):
+                raise
+            again = None
         if again is not None:
-            raise RunRecorded(f"{target} holds rows of {again.asDict()} already")
+            raise RunRecorded(f"{target} holds rows of {again[0]} of {run.moment} already")
+    overwrite_partitions(run.rows(df, schema), target, run.partition_by)
+
+
+def overwrite_partitions(rows: DataFrame, target: str, partition_by: list[str]) -> None:
+    """Replace the partitions that `rows` fill; others stay. The partition columns come last."""
+    spark = rows.sparkSession
     if is_path(target):
-        append_audit(df, target, schema, partition_by)
-    else:
-        append_audit_table(df, target, schema)
+        writer = rows.write.mode("overwrite").partitionBy(*partition_by)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(target)
+        return
+    empty = spark.createDataFrame([], rows.schema).write.format("parquet").mode("ignore")
+    empty.partitionBy(*partition_by).saveAsTable(target)
+    if partition_columns(target, spark) != partition_by:
+        raise ValueError(f"{target} is not partitioned by {', '.join(partition_by)}")
+    option = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(option)
+    spark.conf.set(option, "dynamic")
+    try:
+        rows.write.insertInto(target, overwrite=True)
+    finally:
+        spark.conf.set(option, before)

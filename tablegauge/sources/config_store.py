@@ -12,12 +12,11 @@ from __future__ import annotations
 import uuid
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegauge.sources.audit_store import conform, is_path
+from tablegauge.sources.audit_store import conform, is_path, partition_columns
 
 
 class Write(NamedTuple):
@@ -35,28 +34,53 @@ _MARKS = [T.StructField("row_count", T.LongType())]
 _PARTITIONS = [T.StructField("version", T.LongType()), T.StructField("write_id", T.StringType())]
 
 
-def _writes(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+def _versions(spark: SparkSession, target: str) -> list[int]:
+    """All version numbers, highest first, from names alone: folders, or partitions of a catalog table."""
+    if is_path(target):
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(target)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+    elif not spark.catalog.tableExists(target):
+        names = []
+    elif partition_columns(target, spark):
+        names = [r[0].split("/")[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
+    else:  # a table that was not made here
+        names = [f"version={r[0]}" for r in spark.table(target).select("version").distinct().collect()]
+    found = {int(n.removeprefix("version=")) for n in names if n.startswith("version=")}
+    return sorted(found, reverse=True)
+
+
+def _writes(spark: SparkSession, target: str, schema: T.StructType, version: int) -> DataFrame:
+    """All writes of a version; no file of another version is listed or read."""
     if not is_path(target):
-        return spark.table(target)
-    return spark.read.schema(T.StructType([*schema, *_MARKS, *_PARTITIONS])).parquet(target)
+        return spark.table(target).filter(F.col("version") == version)
+    whole = T.StructType([*schema, *_MARKS, *_PARTITIONS])
+    reader = spark.read.schema(whole).option("basePath", target)
+    return reader.parquet(f"{target.rstrip('/')}/version={version}")
 
 
-def _winner(writes: DataFrame, version: int | None = None) -> Write | None:
-    """The write that counts for a version, the highest whole one by default. Runs one small job."""
-    if version is not None:
-        writes = writes.filter(F.col("version") == version)
+def _winner(spark: SparkSession, target: str, schema: T.StructType, version: int) -> Write | None:
+    """The write that counts for a version: of the whole ones that of the least id. One small job."""
+    writes = _writes(spark, target, schema, version)
     whole = (
         writes.groupBy("version", "write_id")
         .agg(F.count("*").alias("rows"), F.min("row_count").alias("row_count"))
         .filter("rows = row_count")
     )
-    first = whole.orderBy(F.desc("version"), "write_id").select("version", "write_id").first()
+    first = whole.orderBy("write_id").select("version", "write_id").first()
     return None if first is None else Write(*first)
 
 
+def _latest(spark: SparkSession, target: str, schema: T.StructType) -> Write | None:
+    """The highest version with a whole write, looked for downwards; nearly always the first one."""
+    found = (_winner(spark, target, schema, v) for v in _versions(spark, target))
+    return next((write for write in found if write is not None), None)
+
+
 def latest_version(spark: SparkSession, target: str, schema: T.StructType) -> int:
     """The highest version with a whole write."""
-    found = _winner(_writes(spark, target, schema))
+    found = _latest(spark, target, schema)
     if found is None:
         raise ValueError(f"{target} holds no whole version of a config table")
     return found.version
@@ -65,24 +89,26 @@ def latest_version(spark: SparkSession, target: str, schema: T.StructType) -> in
 def read_config(
     spark: SparkSession, target: str, schema: T.StructType, version: int | None = None
 ) -> DataFrame:
-    """One version of a config table, the latest whole one by default."""
-    writes = _writes(spark, target, schema)
-    found = _winner(writes, version)
+    """One version of a config table, the latest whole one by default.
+
+    Versions are found by name, so the files of one version are read, however many there are.
+    """
+    if version is None:
+        found = _latest(spark, target, schema)
+    else:
+        found = _whole(spark, target, schema, version)
     if found is None:
         wanted = "version" if version is None else f"version {version}"
         raise ValueError(f"{target} holds no whole {wanted} of a config table")
-    mine = (F.col("version") == found.version) & (F.col("write_id") == found.write_id)
-    return writes.filter(mine).select(*schema.fieldNames())
+    writes = _writes(spark, target, schema, found.version)
+    return writes.filter(F.col("write_id") == found.write_id).select(*schema.fieldNames())
 
 
-def _held(spark: SparkSession, target: str, schema: T.StructType, version: int) -> bool:
-    """Whether there is a whole write of the version."""
-    try:
-        return _winner(_writes(spark, target, schema), version) is not None
-    except AnalysisException as problem:
-        if problem.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
-            raise
-        return False
+def _whole(spark: SparkSession, target: str, schema: T.StructType, version: int) -> Write | None:
+    """The write that counts for a version, if there is a whole one."""
+    if version not in _versions(spark, target):
+        return None
+    return _winner(spark, target, schema, version)
 
 
 def write_config(
@@ -104,7 +130,7 @@ def write_config(
     n_rows = rows.count()
     if n_rows == 0:
         raise ValueError(f"an empty config is not written to {target}")
-    if _held(spark, target, schema, version):
+    if _whole(spark, target, schema, version) is not None:
         raise VersionConflict(f"version {version} of {target} is there already")
     mine = Write(version, uuid.uuid4().hex)
     marked = rows.withColumn("row_count", F.lit(n_rows).cast("bigint"))
@@ -114,6 +140,8 @@ def write_config(
     else:
         marked = marked.withColumn("version", F.lit(version).cast("bigint"))
         marked = marked.withColumn("write_id", F.lit(mine.write_id))
-        marked.write.format("parquet").mode("append").saveAsTable(target)
-    if _winner(_writes(spark, target, schema), version) != mine:
+        writer = marked.write.format("parquet").mode("append")
+        old = spark.catalog.tableExists(target) and not partition_columns(target, spark)
+        (writer if old else writer.partitionBy("version", "write_id")).saveAsTable(target)
+    if _winner(spark, target, schema, version) != mine:
         raise VersionConflict(f"version {version} of {target} is another writer's")
