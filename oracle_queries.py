@@ -433,6 +433,78 @@ _KNOWN = "SELECT p_partkey + 100 FROM part"
 _UNKNOWN_PART = f"l_partkey NOT IN ({_KNOWN})"
 _UNKNOWN_OR_NULL = f"l_partkey NOT IN ({_KNOWN} WHERE p_partkey % 7 <> 0)"
 
+_XREF_KEY_NULL = """(src_system_cd IS NULL OR source_identifier_type IS NULL
+ OR source_identifier_value IS NULL OR person_id IS NULL)"""
+_XREF_COLUMNS = ", ".join(
+    f"{column} NULLS FIRST"
+    for column in """decision_id run_id src_system_cd source_identifier_type source_identifier_value
+ person_id record_created_ts record_updated_ts effective_start_date effective_end_date""".split()
+)
+# Table, its rows in scope, and what makes a row break each check.
+_BROKEN = [
+    (
+        "spine",
+        "person_spine",
+        "",
+        {
+            "REQ_PERSON_ID": "person_id IS NULL",
+            "REQ_IDENTITY_TYPE_USED": "identity_type_used IS NULL",
+            "REQ_SRC_SYSTEM_CD": "src_system_cd IS NULL",
+            "REQ_SRC_CUSTOMER_ID": "src_customer_id IS NULL",
+            "REQ_CREATE_TS": "record_created_ts IS NULL",
+            "LOG_CREATE_LS_UPDATE_TS": _LATE,
+            "REQ_DECISION_VERSION": "decision_version IS NULL",
+            "LOG_FIRST_LS_LAST_SEEN": "first_seen_date > last_seen_date",
+            "LOG_DOB": "2024 - year(date_of_birth) < 18",
+            "THR_SSN_NULL": "ssn IS NULL",
+            "THR_DOB_NULL": "date_of_birth IS NULL",
+            "THR_IS_ACTIVE_FALSE": "is_active = FALSE",
+        },
+    ),
+    (
+        "xref",
+        "person_identifier_xref",
+        _OPEN,
+        {
+            "REQ_PK": _XREF_KEY_NULL,
+            "REQ_CREATE_TS": "record_created_ts IS NULL",
+            "LOG_CREATE_LS_UPDATE_TS": _LATE,
+            "LOG_EFFECTIVE_START_LS_END_TS": "effective_start_date > effective_end_date",
+        },
+    ),
+    (
+        "behavior",
+        "customer_behavior_daily",
+        "",
+        {
+            "REQ_PK": "person_id IS NULL OR business_date IS NULL",
+            "REQ_SRC_SYSTEM_CD": "src_system_cd IS NULL",
+            "REQ_IS_ACTIVE_FLAG": "is_active_customer_flag IS NULL",
+            "DEP_INACTIVE_REQUIRES_DAYS": """is_active_customer_flag = FALSE
+ AND last_activity_date IS NOT NULL AND days_since_inactive IS NULL""",
+            "LOG_CREATE_LS_UPDATE_TS": _LATE,
+            "THR_SSN_NULL": "ssn IS NULL",
+        },
+    ),
+    (
+        "contact",
+        "person_contact_profile",
+        "",
+        {
+            "REQ_PK": "is_active AND (person_id IS NULL OR src_system_cd IS NULL)",
+            "REQ_RECORD_CREATED_TS": "is_active AND record_created_ts IS NULL",
+            "LOG_RECORD_CREATED_LS_UPDATED": f"is_active AND {_LATE}",
+            "VAL_EMAIL_FORMAT": """is_active AND primary_email_valid_flag = 1
+ AND primary_email_address NOT LIKE '%@%'""",
+            "VAL_PHONE_FORMAT": """is_active AND primary_phone_valid_flag = 1
+ AND length(regexp_replace(primary_phone_number, '[^0-9]', '', 'g')) < 10""",
+            "VAL_STATE_CODE": "is_active AND length(mailing_address_state_cd) <> 2",
+            "THR_NAME_NULL": "first_name IS NULL OR last_name IS NULL",
+        },
+    ),
+]
+
+
 _KINDS = {
     "check_not_null": _long(
         _LABELLED,
@@ -569,6 +641,18 @@ ORACLE_SQL: dict[str, str] = {
         _MISSING.replace("person_spine", "person_spine WHERE person_id IS NOT NULL")
     ),
     "fk_violations_anti": _fk(_MISSING_ANTI),
+    "fk_violations_prefiltered": _fk(_MISSING_ANTI),
+    **{
+        f"violating_rows_{table}": f"""{_TABLES} SELECT * FROM (SELECT *, concat_ws(',',
+ {", ".join(f"CASE WHEN {broken} THEN '{check}' END" for check, broken in checks.items())}
+ ) AS broken_checks FROM {name} {where}) WHERE broken_checks <> ''"""
+        for table, name, where, checks in _BROKEN
+    },
+    "surplus_rows_xref": f"""{_TABLES} SELECT * FROM person_identifier_xref {_OPEN}
+ QUALIFY {_XREF_KEY_NULL} OR row_number() OVER (
+   PARTITION BY src_system_cd, source_identifier_type, source_identifier_value, person_id
+   ORDER BY {_XREF_COLUMNS}) > 1""",
+    "period_drop_two_days": _KINDS["check_period_drop_pct"],
     "fk_orphan_rows": f"""{_TABLES} SELECT * FROM person_identifier_xref
  WHERE {_MISSING_ANTI.format(t="person_identifier_xref")}""",
     "latest_run_per_decision": f"{_TABLES}\n"

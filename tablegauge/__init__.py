@@ -40,6 +40,8 @@ from tablegauge.operators.freshness import (
 )
 from tablegauge.operators.grading import dq_audit, dq_grade
 from tablegauge.operators.orphans import orphan_rows
+from tablegauge.operators.rows import period_drop_summary, surplus_rows, violating_rows
+from tablegauge.operators.states import refresh_states, summary_of_states
 from tablegauge.operators.summary import dq_summary
 
 __all__ = [
@@ -67,12 +69,17 @@ __all__ = [
     "ordered",
     "orphan_rows",
     "period_drop_pct",
+    "period_drop_summary",
+    "refresh_states",
     "required_when",
     "rollup_thresholds",
     "run_freshness",
+    "summary_of_states",
+    "surplus_rows",
     "unique",
     "update_freshness_rule",
     "update_freshness_rules",
     "update_threshold",
     "update_thresholds",
+    "violating_rows",
 ]

@@ -57,6 +57,9 @@ class OrphanCount:
 
     `null_aware` keeps SQL `NOT IN` semantics: one NULL in the reference makes every unmatched
     comparison unknown, so the count is 0. `anti` ignores NULLs in the reference.
+
+    `prefilter` puts a Bloom filter of the reference before the shuffle: keys that fail it are counted as
+    orphans where they are read. It pays where many keys are orphans, as otherwise all keys pass it.
     """
 
     column: str | Column
@@ -64,6 +67,7 @@ class OrphanCount:
     reference_column: str
     mode: str = "anti"
     scope: Column | None = None
+    prefilter: bool = False
 
     def __post_init__(self) -> None:
         if self.mode not in FK_MODES:
@@ -135,9 +139,11 @@ def foreign_key(
     *,
     mode: str = "anti",
     scope: Column | None = None,
+    prefilter: bool = False,
 ) -> Check:
-    """Rows whose non-NULL key is absent from the reference."""
-    return measured(name, OrphanCount(column, reference, reference_column, mode, scope))
+    """Rows whose non-NULL key is absent from the reference; `prefilter` as in `OrphanCount`."""
+    measure = OrphanCount(column, reference, reference_column, mode, scope, prefilter)
+    return measured(name, measure)
 
 
 def ordered(

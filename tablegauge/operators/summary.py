@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tablegauge.functions import as_column, within
 from tablegauge.operators.checks import Check, DistinctCount, Measure, OrphanCount, RowCount, Suite
+from tablegauge.operators.key_filter import check_types, filter_words, with_possible, words_for
+from tablegauge.operators.tagged import Tags
 
 # The JVM leaves methods beyond 8000 bytes interpreted, and the generated method of an aggregate
 # grows by 150 to 350 bytes per counter.
@@ -50,8 +52,15 @@ def _orphans(df: DataFrame, by: str, orphan: OrphanCount, name: str) -> DataFram
     """
     key = as_column(orphan.column)
     rows = df.filter(within(orphan.scope, key.isNotNull()))
+    if orphan.prefilter:
+        rows = _possible_keys(rows.select(F.col(by).alias(by), key.alias("_key")), orphan)
+        key = F.col("_key")
     per_key = rows.groupBy(by, key.alias("_key")).agg(F.count("*").alias("_rows"))
-    per_key = per_key.filter(F.spark_partition_id() >= 0)
+    return orphans_of_keys(per_key.filter(F.spark_partition_id() >= 0), by, orphan, name)
+
+
+def orphans_of_keys(per_key: DataFrame, by: str, orphan: OrphanCount, name: str) -> DataFrame:
+    """Orphaned rows per decision, for rows counted per decision and `_key`."""
     known = thinned_keys(orphan.reference, orphan.reference_column).hint("merge")
     return (
         per_key.join(known, F.col("_key") == F.col("_reference_key"), "left_anti")
@@ -60,20 +69,36 @@ def _orphans(df: DataFrame, by: str, orphan: OrphanCount, name: str) -> DataFram
     )
 
 
-def _holds_null(orphan: OrphanCount) -> bool:
+def _possible_keys(rows: DataFrame, orphan: OrphanCount) -> DataFrame:
+    """`rows` in which a `_key` that is certainly an orphan is NULL.
+
+    A NULL matches no reference key, and those of a decision are one group, so the certain orphans of a task
+    leave it as one row per decision. A job at once estimates the keys of the reference.
+    """
+    reference, column = orphan.reference, orphan.reference_column
+    check_types(rows.schema["_key"].dataType, reference.schema[column].dataType)
+    keys = reference.agg(F.approx_count_distinct(F.col(column))).first()[0] or 0
+    words = words_for(keys)
+    filled = filter_words(reference, column, words)
+    return with_possible(rows, F.col("_key"), filled, words, "_key")
+
+
+def holds_null(orphan: OrphanCount) -> bool:
     """Whether the reference has a NULL: a job that stops at the first one."""
     column = F.col(orphan.reference_column)
     return not orphan.reference.select(column).filter(column.isNull()).isEmpty()
 
 
-def measure(df: DataFrame, by: str, measures: dict[Measure, str]) -> DataFrame:
+def measure(
+    df: DataFrame, by: str, measures: dict[Measure, str], one_scan: bool = False
+) -> DataFrame:
     """One row per decision with a column per measure.
 
-    Row counts share an aggregate whose shuffle carries a row per decision and task; only suites
-    too large for one generated method spread them over several, each with its own scan. Each
-    distinct count and each orphan count is an aggregate of its own that reads and shuffles its
-    key columns only. Computing a distinct count next to the row counts would instead drag every
-    counter through the shuffle of the keys. The branches meet in a union that is already
+    With `one_scan` row counts and distinct counts come from one scan of tagged rows (see `tagged`). Else
+    row counts share an aggregate whose shuffle carries a row per decision and task (suites too large for
+    one generated method spread them over several scans), and each distinct count is an aggregate of its own
+    over its key columns. Plain counters beside a distinct count would be dragged through the shuffle of the
+    keys. Each orphan count is an aggregate of its own. The branches meet in a union that is already
     partitioned by decision, which also keeps the NULL decision together.
 
     For a null-aware foreign key a job runs at once, which asks for a NULL in the reference (once for
@@ -81,21 +106,26 @@ def measure(df: DataFrame, by: str, measures: dict[Measure, str]) -> DataFrame:
     read for it.
     """
     counts = [m.aggregate().alias(name) for m, name in measures.items() if isinstance(m, RowCount)]
-    branches = [
-        df.groupBy(by).agg(*counts[i : i + COUNTS_PER_AGGREGATE])
-        for i in range(0, len(counts), COUNTS_PER_AGGREGATE)
-    ]
+    one_scan = one_scan and any(isinstance(m, DistinctCount) for m in measures)
+    if one_scan:
+        tags = Tags({m: n for m, n in measures.items() if not isinstance(m, OrphanCount)})
+        branches = [tags.merged(tags.counted(df, [F.col(by)]), by)]
+    else:
+        branches = [
+            df.groupBy(by).agg(*counts[i : i + COUNTS_PER_AGGREGATE])
+            for i in range(0, len(counts), COUNTS_PER_AGGREGATE)
+        ]
     nulls: dict[tuple[int, str], bool] = {}
     zero = []
     for m, name in measures.items():
         if isinstance(m, OrphanCount) and m.mode == "null_aware":
             reference = (id(m.reference), m.reference_column)
             if reference not in nulls:
-                nulls[reference] = _holds_null(m)
+                nulls[reference] = holds_null(m)
             if nulls[reference]:
                 zero.append(name)
                 continue
-        if isinstance(m, DistinctCount):
+        if isinstance(m, DistinctCount) and not one_scan:
             branches.append(df.groupBy(by).agg(m.aggregate().alias(name)))
         elif isinstance(m, OrphanCount):
             branches.append(_orphans(df, by, m, name))
@@ -146,17 +176,41 @@ def dq_summary(
     *,
     emit_metadata: bool | None = None,
     keep_null_metrics: bool = False,
+    one_scan: bool = True,
 ) -> DataFrame:
-    """(decision_id, table_name, check_name, check_value) for every check of the suite."""
-    if emit_metadata is None:
-        emit_metadata = suite.emit_metadata
-    checks = suite.checks + (suite.metadata if emit_metadata else ())
-    distinct_measures = dict.fromkeys(m for check in checks for m in check.measures.values())
-    names = {m: f"_m{i}" for i, m in enumerate(distinct_measures)}
+    """(decision_id, table_name, check_name, check_value) for every check of the suite.
 
+    `one_scan=False` gives row counts and each distinct count a column-pruned scan of its own.
+    """
+    checks = selected_checks(suite, emit_metadata)
+    names = measure_names(checks)
     base = df if suite.scope is None else df.filter(suite.scope)
+    wide = measure(base, suite.by, names, one_scan)
+    return check_rows(wide, suite, checks, names, keep_null_metrics)
+
+
+def selected_checks(suite: Suite, emit_metadata: bool | None = None) -> tuple[Check, ...]:
+    """The checks of a suite, with its metadata if they are shown."""
+    shown = suite.emit_metadata if emit_metadata is None else emit_metadata
+    return suite.checks + (suite.metadata if shown else ())
+
+
+def measure_names(checks: Iterable[Check]) -> dict[Measure, str]:
+    """A column name for each measure of the checks."""
+    measures = dict.fromkeys(m for check in checks for m in check.measures.values())
+    return {m: f"_m{i}" for i, m in enumerate(measures)}
+
+
+def check_rows(
+    measured: DataFrame,
+    suite: Suite,
+    checks: tuple[Check, ...],
+    names: dict[Measure, str],
+    keep_null_metrics: bool,
+) -> DataFrame:
+    """Summary rows out of one row of measures per decision."""
     columns = {check.name: f"_v{i}" for i, check in enumerate(checks)}
-    wide = measure(base, suite.by, names).select(
+    wide = measured.select(
         F.col(suite.by).cast("string").alias("decision_id"),
         *[_value(check, names).alias(columns[check.name]) for check in checks],
     )

@@ -43,20 +43,26 @@ _NAMES = (
 )
 
 
+def table_suite(
+    tables: ProfiledTables, table: str, as_of_ts: datetime, *, fk_mode: str = "null_aware"
+) -> Suite:
+    """The suite of one table."""
+    as_of = as_of_ts.date()
+    if table == "spine":
+        return suites.person_spine(as_of)
+    build = {
+        "xref": suites.person_identifier_xref,
+        "behavior": suites.customer_behavior_daily,
+        "contact": suites.person_contact_profile,
+    }[table]
+    return build(as_of, tables.spine, fk_mode=fk_mode)
+
+
 def table_summary(
     tables: ProfiledTables, table: str, as_of_ts: datetime, *, fk_mode: str = "null_aware"
 ) -> DataFrame:
     """Summary of one table under its suite."""
-    as_of = as_of_ts.date()
-    if table == "spine":
-        suite = suites.person_spine(as_of)
-    else:
-        build = {
-            "xref": suites.person_identifier_xref,
-            "behavior": suites.customer_behavior_daily,
-            "contact": suites.person_contact_profile,
-        }[table]
-        suite = build(as_of, tables.spine, fk_mode=fk_mode)
+    suite = table_suite(tables, table, as_of_ts, fk_mode=fk_mode)
     return dq_summary(getattr(tables, table), suite)
 
 

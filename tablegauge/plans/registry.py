@@ -43,6 +43,7 @@ from tablegauge.operators.config import (
 from tablegauge.operators.freshness import freshness_audit, latest_runs
 from tablegauge.operators.grading import DECISION_KEYS, dq_audit
 from tablegauge.operators.orphans import orphan_rows
+from tablegauge.operators.rows import period_drop_summary, surplus_rows, violating_rows
 from tablegauge.operators.summary import dq_summary
 from tablegauge.plans import audits, suites
 from tablegauge.sources.sample_tables import AS_OF_TS, SampleTables, star_table
@@ -103,20 +104,21 @@ def xref_unscoped(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- foreign keys ------------------------------------------------------------------------
 
 
-def _fk_violations(mode: str, clean_reference: bool = False) -> Query:
+def _fk_violations(mode: str, clean_reference: bool = False, prefilter: bool = False) -> Query:
     """The foreign-key check alone, on the three tables that refer to the spine."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables = SampleTables(spark, sf_dir)
         spine = tables.spine.dropna(subset=["person_id"]) if clean_reference else tables.spine
-        summaries = [
-            dq_summary(
-                df,
-                Suite(
-                    name,
-                    (foreign_key("PERSON_ID_EXISTS", "person_id", spine, "person_id", mode=mode),),
-                ),
+
+        def check():
+            name = "PERSON_ID_EXISTS"
+            return foreign_key(
+                name, "person_id", spine, "person_id", mode=mode, prefilter=prefilter
             )
+
+        summaries = [
+            dq_summary(df, Suite(name, (check(),)))
             for name, df in [
                 ("PERSON_IDENTIFIER_XREF", tables.xref),
                 ("CUSTOMER_BEHAVIOR_DAILY", tables.behavior),
@@ -133,6 +135,35 @@ def fk_orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphan_rows(tables.xref, "person_id", tables.spine, "person_id")
 
 
+# --- the rows behind counts ----------------------------------------------------------------
+
+
+def _violating_rows(table: str) -> Query:
+    """The rows of a profiled table that break row checks, with the names of these checks."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = SampleTables(spark, sf_dir)
+        suite = audits.table_suite(tables, table, AS_OF_TS)
+        rows = violating_rows(getattr(tables, table), suite)
+        return rows.withColumn("broken_checks", F.array_join("broken_checks", ","))
+
+    return query
+
+
+def surplus_rows_xref(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open identifier links beyond the first of their key."""
+    keys = ("src_system_cd", "source_identifier_type", "source_identifier_value", "person_id")
+    still_open = F.col("effective_end_date").isNull()
+    return surplus_rows(SampleTables(spark, sf_dir).xref, *keys, scope=still_open)
+
+
+def period_drop_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = star_table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    return period_drop_summary(
+        events, "THR_EVENT_DROP_PCT", "day", AS_OF, table_name="EVENTS", by="event_type"
+    )
+
+
 # --- freshness ---------------------------------------------------------------------------
 
 
@@ -472,7 +503,14 @@ QUERIES: dict[str, Query] = {
     "fk_violations_null_aware": _fk_violations("null_aware"),
     "fk_violations_null_aware_clean": _fk_violations("null_aware", clean_reference=True),
     "fk_violations_anti": _fk_violations("anti"),
+    "fk_violations_prefiltered": _fk_violations("anti", prefilter=True),
     "fk_orphan_rows": fk_orphan_rows,
+    "violating_rows_spine": _violating_rows("spine"),
+    "violating_rows_xref": _violating_rows("xref"),
+    "violating_rows_behavior": _violating_rows("behavior"),
+    "violating_rows_contact": _violating_rows("contact"),
+    "surplus_rows_xref": surplus_rows_xref,
+    "period_drop_two_days": period_drop_two_days,
     "latest_run_per_decision": latest_run_per_decision,
     "freshness_summary_spine": _freshness_summary("spine"),
     "freshness_summary_xref": _freshness_summary("xref"),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +68,36 @@ def partition_columns(target: str, spark: SparkSession) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
 
 
+def partition_names(
+    spark: SparkSession, target: str, within: Mapping[str, str] | None = None
+) -> list[list[tuple[str, str | None]]]:
+    """(column, value) of the partitions under the partition `within`, from names alone.
+
+    Of a path one level is listed, that of the folders under `within`; of a catalog table whole names.
+    """
+    above = list((within or {}).items())
+    if is_path(target):
+        jvm = spark.sparkContext._jvm
+        folder = "/".join([target.rstrip("/"), *(f"{c}={v}" for c, v in above)])
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return []
+        found = [[f.getPath().getName()] for f in files.listStatus(path) if f.isDirectory()]
+        prefix = [f"{c}={v}" for c, v in above]
+        found = [prefix + names for names in found]
+    elif spark.catalog.tableExists(target):
+        found = [r[0].split("/") for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
+    else:
+        return []
+    pairs = [[tuple(name.split("=", 1)) for name in names if "=" in name] for names in found]
+    return [[(c, None if v == _NULL_PARTITION else unquote(v)) for c, v in names] for names in pairs if names]
+
+
+#: Fixed value: the folder of a NULL.
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass(frozen=True)
 class Run:
     """What a run writes: one partition for each name (a table that was audited).

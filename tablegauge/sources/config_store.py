@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegauge.sources.audit_store import conform, is_path, partition_columns
+from tablegauge.sources.audit_store import conform, is_path, partition_columns, partition_names
 
 
 class Write(NamedTuple):
@@ -35,19 +35,13 @@ _PARTITIONS = [T.StructField("version", T.LongType()), T.StructField("write_id",
 
 
 def _versions(spark: SparkSession, target: str) -> list[int]:
-    """All version numbers, highest first, from names alone: folders, or partitions of a catalog table."""
-    if is_path(target):
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(target)
-        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
-    elif not spark.catalog.tableExists(target):
-        names = []
-    elif partition_columns(target, spark):
-        names = [r[0].split("/")[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
-    else:  # a table that was not made here
-        names = [f"version={r[0]}" for r in spark.table(target).select("version").distinct().collect()]
-    found = {int(n.removeprefix("version=")) for n in names if n.startswith("version=")}
+    """All version numbers, highest first, from the names of folders or partitions alone."""
+    if not is_path(target) and spark.catalog.tableExists(target) and not partition_columns(target, spark):
+        # A table that was not made here.
+        found = {r[0] for r in spark.table(target).select("version").distinct().collect()}
+    else:
+        named = (dict(names).get("version") for names in partition_names(spark, target))
+        found = {int(v) for v in named if v is not None}
     return sorted(found, reverse=True)
 
 

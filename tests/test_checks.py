@@ -295,3 +295,41 @@ def test_check_names_are_unique():
     check = Check("N", {"n": RowCount()}, lambda n: n)
     with pytest.raises(ValueError, match="repeated: \\['N'\\]"):
         Suite("T", (check, check))
+
+
+@pytest.mark.parametrize("reference", [["1", "2", None], ["1", "2"], [], [None]])
+def test_prefiltered_foreign_key_is_exact(spark, reference):
+    df, ref = keys_frame(spark, KEYS), keys_frame(spark, reference)
+    for mode in ("anti", "null_aware"):
+        plain = values(df, foreign_key("FK", "key", ref, "key", mode=mode))
+        assert values(df, foreign_key("FK", "key", ref, "key", mode=mode, prefilter=True)) == plain
+
+
+def test_prefilter_keeps_certain_orphans_from_moving(spark):
+    """Half of 40,000 keys are orphans, each its own; a full filter lets all pass, and nothing changes."""
+    from tablegauge.operators import summary as module
+    from tablegauge.operators.checks import OrphanCount
+    from tablegauge.operators.key_filter import filter_words, words_for
+
+    df = spark.range(40_000).selectExpr("IF(id % 3 = 0, NULL, 'D') AS decision_id", "id AS key")
+    ref = spark.range(0, 40_000, 2).withColumnRenamed("id", "known")
+    for scope in (None, F.col("key") % 5 != 0):
+        check = lambda prefilter: Suite("T", (foreign_key("FK", "key", ref, "known", scope=scope, prefilter=prefilter),))  # noqa: B023, E731
+        plain, filtered = (sorted(map(tuple, dq_summary(df, check(p)).collect()), key=str) for p in (False, True))
+        assert plain == filtered and len(plain) == 2
+    orphan = OrphanCount("key", ref, "known", prefilter=True)
+    moved = module._possible_keys(df.select("decision_id", F.col("key").alias("_key")), orphan)
+    keys = moved.select("_key").distinct().count()
+    assert 20_001 <= keys <= 21_500  # the known keys, NULL, and a few orphans that pass
+    assert words_for(0) == 1 and words_for(10**12) == 1 << 20
+    few = filter_words(ref, "known", 1)
+    assert few.count() == 1 and few.first()["_bits"] == -1
+
+
+def test_keys_of_other_types_are_not_prefiltered(spark):
+    df, ref = spark.createDataFrame([("D", 1)], "decision_id string, key int"), keys_frame(spark, ["1"])
+    with pytest.raises(ValueError, match="cannot be filtered"):
+        values(df, foreign_key("FK", "key", ref, "key", prefilter=True))
+    amounts = spark.createDataFrame([("D", 0.0)], "decision_id string, key double")
+    with pytest.raises(ValueError, match="cannot be filtered"):
+        values(amounts, foreign_key("FK", "key", amounts, "key", prefilter=True))

@@ -2,7 +2,7 @@ from datetime import datetime
 
 import pytest
 
-from helpers import AS_OF_TS
+from helpers import AS_OF_TS, plan_of
 from tablegauge import freshness_audit, lag_freshness, latest_runs, run_freshness
 from tablegauge.schemas import FRESHNESS_AUDIT, FRESHNESS_SUMMARY
 
@@ -117,3 +117,39 @@ def test_audit_row(spark):
 def test_unknown_grade(spark):
     with pytest.raises(ValueError, match="grade"):
         freshness_audit(None, None, AS_OF_TS, grade="loose")
+
+
+def test_runs_first_reads_the_newest_runs_only(spark, tmp_path):
+    """On a table partitioned by decision and run, files of older runs are not opened."""
+    path = str(tmp_path / "runs")
+    rows = spark.range(600).selectExpr(
+        "concat('D', CAST(id % 3 AS STRING)) AS decision_id",
+        "concat('RUN_202401', lpad(CAST(1 + id % 20 + id % 3 AS STRING), 2, '0'), '_01') AS run_id",
+        "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_interval(0, 0, 0, CAST(id % 40 AS INT)) AS record_updated_ts",
+    )
+    rows.write.partitionBy("decision_id", "run_id").parquet(path)
+    df = spark.read.schema(rows.schema).parquet(path)
+    want = sorted(map(tuple, latest_runs(df).collect()))
+    newest = latest_runs(df, runs_first=True)
+    assert "run_id" in plan_of(newest).split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted(map(tuple, newest.collect())) == want and len(want) == 3
+    assert {tuple(r) for r in run_freshness(df, "T", AS_OF_TS, runs_first=True).collect()} == {
+        tuple(r) for r in run_freshness(df, "T", AS_OF_TS).collect()
+    }
+    runs = {r[1] for r in want}
+    for part in (tmp_path / "runs").glob("decision_id=*/run_id=*/*.parquet"):
+        if part.parent.name.removeprefix("run_id=") not in runs:
+            part.write_bytes(b"broken")
+            part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
+    assert sorted(map(tuple, newest.collect())) == want
+
+
+def test_runs_first_with_null_runs_and_many_runs(spark, monkeypatch):
+    df = _runs(spark, ("RUN_20240131_01", TODAY), (None, YESTERDAY), ("RUN_20240130_01", TODAY))
+    other = df.selectExpr("'E' AS decision_id", "coalesce(run_id, 'RUN_1') AS run_id", "record_updated_ts")
+    both = df.unionByName(other)
+    want = sorted(map(tuple, latest_runs(both).collect()))
+    assert sorted(map(tuple, latest_runs(both, runs_first=True).collect())) == want
+    monkeypatch.setattr("tablegauge.operators.freshness.NAMED_RUNS", 1)
+    assert sorted(map(tuple, latest_runs(both, runs_first=True).collect())) == want
+    assert latest_runs(both.limit(0), runs_first=True).collect() == []
