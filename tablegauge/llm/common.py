@@ -13,19 +13,24 @@ from pyspark.sql import functions as F
 _PACKAGE = Path(__file__).resolve().parents[1]
 
 
+#: Work folders of applications without spark.checkpoint.dir.
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
-    Where it is unset, a temporary folder in local mode (one machine) and the warehouse elsewhere.
+    Where it is unset, a temporary folder in local mode (one machine) and one in the warehouse elsewhere; it
+    is made once per application.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if spark.sparkContext.master.startswith("local-cluster") or not spark.sparkContext.master.startswith("local"):
-            base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
-        else:
-            base = tempfile.mkdtemp(prefix="tablegauge-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    if base := spark.conf.get("spark.checkpoint.dir", None):
+        return base.rstrip("/")
+    context = spark.sparkContext
+    if context.applicationId not in _OWN_DIRS:
+        one_machine = context.master.startswith("local") and not context.master.startswith("local-cluster")
+        work = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+        _OWN_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="tablegauge-") if one_machine else work
+    return _OWN_DIRS[context.applicationId]
 
 
 def saved(df: DataFrame, codec: str = "zstd") -> DataFrame:
@@ -60,6 +65,12 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def boxed(docs: DataFrame, **extra: Column) -> DataFrame:
+    """All columns of `docs` as one, named row, beside `extra`: no name of the table can clash with an inner one."""
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    return docs.select(F.struct(*columns).alias("row"), *[value.alias(name) for name, value in extra.items()])
+
+
 def text_keys(text: Column) -> list[Column]:
     """Two independent 64-bit hashes that together name a text."""
     return [F.xxhash64(F.lit(17), text).alias("k1"), F.xxhash64(F.lit(29), text).alias("k2")]

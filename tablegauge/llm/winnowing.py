@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablegauge.llm.common import broadcast_if_small, lower_ascii, saved, text_keys
+from tablegauge.llm.common import boxed, broadcast_if_small, lower_ascii, saved, text_keys
 
 #: Words are made of 0-9, a-z and everything beyond ASCII.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -188,7 +188,7 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, k: int = 6, span: int
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, k: int = 6, span: int = 13, one_in: int = 20) -> DataFrame:
     """The rows of `docs` that are not contaminated, with all their columns; cases as in `decontamination`."""
-    bad = _judged(docs, benchmark, k, span, one_in).filter("contaminated").select(F.struct("k1", "k2").alias("_text_key"))
-    kept = docs.withColumn("_text_key", F.struct(*text_keys(F.col("text"))))
+    bad = _judged(docs, benchmark, k, span, one_in).filter("contaminated").select(F.struct("k1", "k2").alias("key"))
+    kept = boxed(docs, key=F.struct(*text_keys(F.col("text"))))
     # 100 bytes for two longs in a hash table. Beyond the limit whole rows are shuffled.
-    return kept.join(broadcast_if_small(bad, 100), "_text_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.join(broadcast_if_small(bad, 100), "key", "left_anti").select("row.*")
