@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tablegauge.llm.common import broadcast_if_small, saved, text_keys
+from tablegauge.llm.common import boxed, broadcast_if_small, saved, text_keys
 
 _U = np.uint64
 #: One bit in each 4-bit field of a signed 64-bit number.
@@ -36,28 +36,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Shingles:
-    """Sets of hashed word shingles; the hashes of frequent words are kept."""
+    """Hashed word shingles of texts."""
 
     def __init__(self, words: int) -> None:
-        self.words, self.known = words, {}
+        self.words = words
 
     def of(self, text: bytes | None) -> np.ndarray:
         """Sorted distinct shingle hashes; a text of fewer words is one shingle, one without words none."""
+        return np.unique(self.all(text))
+
+    def all(self, text: bytes | None) -> np.ndarray:
+        """The shingle hashes in the order of the text."""
         # bytes.lower() and bytes.split() know ASCII only: A-Z, and the white space of the word rule.
         words = (text or b"").lower().split()
         if not words:
             return np.empty(0, dtype=_U)
-        known = self.known
-        if len(known) > 200_000:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = xxh64_intdigest(word)
-        h = np.fromiter(map(known.__getitem__, words), dtype=_U, count=len(words))
+        h = np.fromiter(map(xxh64_intdigest, words), dtype=_U, count=len(words))
         width = min(self.words, len(words))
         out = np.full(len(h) - width + 1, width, dtype=_U)
         for j in range(width):
             out = _mix(out * _U(0x9E3779B97F4A7C15) + h[j : len(h) - width + 1 + j])
-        return np.unique(out)
+        return out
 
 
 def _minima(shingles: np.ndarray, n: int) -> np.ndarray:
@@ -263,9 +262,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
 
 
 def deduplicated(docs: DataFrame, **parameters: int) -> DataFrame:
-    """The rows of `docs` that `near_duplicates` keeps, one for each component, with all their columns."""
-    kept = near_duplicates(docs, **parameters).filter("kept").select(F.struct("doc_id", "k1", "k2").alias("_row_key"))
-    marked = docs.withColumn("_row_key", F.struct("doc_id", *text_keys(F.col("text"))))
+    """The rows of `docs` that `near_duplicates` keeps, one for each component, with all their columns.
+
+    Rows of equal id and text are one document, of which one row stays; which one is open where others of its
+    columns differ. Rows without words and null texts are linked with nothing and stay.
+    """
+    kept = near_duplicates(docs, **parameters).filter("kept").select(F.struct("doc_id", "k1", "k2").alias("key"))
+    marked = boxed(docs, key=F.struct("doc_id", *text_keys(F.col("text"))))
     # Rows with equal id and text are one document.
-    named = marked.join(saved(kept.distinct()), "_row_key", "left_semi").dropDuplicates(["_row_key"])
-    return named.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return marked.join(saved(kept.distinct()), "key", "left_semi").dropDuplicates(["key"]).select("row.*")

@@ -60,10 +60,17 @@ def rare_first(docs: DataFrame, words: int) -> tuple[bytes, list[int]]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, counts = Shingles(words), np.zeros(COUNTERS, dtype=np.int64)
+        waiting, size = [], 0
         for batch in batches:
             for text in batch.column("raw"):
-                found = shingles.of(text.as_py())
-                np.add.at(counts, (found & _U(COUNTERS - 1)).astype(np.int64), 1)
+                # An n-gram that a text repeats counts again, which only moves it back in the order.
+                waiting.append((shingles.all(text.as_py()) & _U(COUNTERS - 1)).astype(np.int32))
+                size += len(waiting[-1])
+                if size >= COUNTERS:
+                    counts += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
+                    waiting, size = [], 0
+        if size:
+            counts += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
         at = np.flatnonzero(counts)
         for lo in range(0, len(at), 100_000):
             some = at[lo : lo + 100_000]
