@@ -1,5 +1,7 @@
 """Operators on documents against brute force, with nulls, empty and repeated rows and clashing columns."""
 
+import math
+import random
 import sys
 import zlib
 from collections import defaultdict
@@ -229,12 +231,20 @@ def test_training_order_is_a_round_trip(docs, tmp_path):
     rows = sorted(ordered.collect(), key=lambda r: r.slot)
     assert [r.slot for r in rows] == list(range(len(rows)))
     assert all((r.shard, r.place) == divmod(r.slot, 16) and len(r.record) == 64 for r in rows)
+    # Only the last sequence of a part is not full.
+    assert sum(r.n_ids < 32 for r in rows) <= docs.rdd.getNumPartitions()
     parts = defaultdict(dict)
     for r in rows:
-        parts[r.doc_id][r.piece] = np.frombuffer(bytes(r.record), "<u2")[: r.n_ids]
-    for doc, text in ROWS:
-        ids = np.concatenate([parts[doc][k] for k in sorted(parts[doc])])
+        ids = np.frombuffer(bytes(r.record), "<u2")
+        assert r.offsets[0] == 0 and (ids[r.n_ids :] == 0).all()
+        for doc, piece, start, stop in zip(r.doc_ids, r.pieces, r.offsets, [*r.offsets[1:], r.n_ids]):
+            if doc not in (None, ROWS[0][0]):
+                assert piece not in parts[doc]
+                parts[doc][piece] = ids[start:stop]
+    for doc, text in ROWS[1:]:
+        ids = np.concatenate([parts[doc][k] for k in range(len(parts[doc]))])
         assert ids.tolist() == document_ids(encoder(RANKS), text).tolist()
+    assert sum(r.doc_ids.count(ROWS[0][0]) for r in rows) >= 3  # its row and two repeated ones
     written = training_order.write_shards(ordered, str(tmp_path / "shards"), length=32, shard_slots=16).collect()
     assert sum(w.n_slots for w in written) == len(rows)
     for start in (0, 37):
@@ -242,8 +252,39 @@ def test_training_order_is_a_round_trip(docs, tmp_path):
         assert [x.tobytes() for x in read] == [bytes(r.record) for r in rows[start:]]
 
 
+def test_very_long_texts(spark):
+    """A long text that is copied goes whole, but for words that are its own; white space and a long word are no problem."""
+    words = [f"w{i % 90_001}" for i in range(150_000)]
+    texts = {1: " ".join(words), 2: " ".join([*words, "own", "end"]), 3: " " * 2_000_000, 4: "x" * 1_000_000, 5: "the " * 100_000}
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r for r in recompression.repeated_passages_removed(table).collect()}
+    assert [(found[d].n_words, found[d].n_removed, found[d].kept_text) for d in (1, 2, 3, 5)] == [
+        (150_000, 150_000, ""), (150_002, 150_000, "own end"), (0, 0, ""), (100_000, 100_000, "")
+    ]
+    assert (found[4].n_words, found[4].n_removed) == (1, 0)
+    ordered = training_order.training_order(table, RANKS, key=3, length=512, shard_slots=64).collect()
+    assert sorted({d for r in ordered for d in r.doc_ids}) == [1, 2, 3, 4, 5]
+    lengths = defaultdict(int)
+    for r in ordered:
+        for d, a, b in zip(r.doc_ids, r.offsets, [*r.offsets[1:], r.n_ids]):
+            lengths[d] += b - a
+    assert lengths[3] == 2_000_001
+
+
+def test_records_of_wide_ids(spark, tmp_path):
+    """Ids of 65536 and more take four bytes each."""
+    path = f"file:{tmp_path}/wide"
+    table = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string").coalesce(1)
+    ordered = training_order.training_order(table, RANKS, key=7, length=8, shard_slots=2, end_id=70_000, path=path)
+    (row,) = ordered.collect()
+    ids = np.frombuffer(bytes(row.record), "<u4")
+    assert row.doc_ids == [1, 2] and ids[row.n_ids - 1] == 70_000 and len(ids) == 8
+    (read,) = training_order.read_slots(path, 0, length=8, shard_slots=2, width=4)
+    assert read.tolist() == ids.tolist()
+
+
 def test_training_order_writes_its_shards(docs, tmp_path):
-    path = str(tmp_path / "order")
+    path = f"file:{tmp_path / 'order'}"
     rows = sorted(training_order.training_order(docs, RANKS, key=7, length=32, shard_slots=16, path=path).collect(), key=lambda r: r.slot)
     read = list(training_order.read_slots(path, 0, length=32, shard_slots=16))
     assert [x.tobytes() for x in read] == [bytes(r.record) for r in rows] and len(rows) > 32
@@ -252,6 +293,21 @@ def test_training_order_writes_its_shards(docs, tmp_path):
     assert names == {f"{k}.bin" for k in range(-(-len(rows) // 16))}
 
 
+def test_ids_of_long_white_space():
+    """Cut out or not, the ids are those of the tokenizer library; beyond a million characters too."""
+    from tablegauge.llm.tokens import document_ids, encoder, text_ids
+    from tokenizers import Tokenizer
+
+    encoding, plain = encoder(RANKS), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(1)
+    pieces = [" ", "  ", "\n", "\t", "\u3000", "\x1c", "\x85", "a", "bc", "1", ".", " the", "\u00e9", "<|endoftext|>"]
+    for _ in range(1500):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 30)))
+        assert text_ids(encoding, text, long_space=3) == plain.encode(text, add_special_tokens=False).ids
+    for text, n in ((" " * 2_000_000, 2_000_000), (" \n" * 1_000_000 + "word", 2_000_001)):
+        assert len(document_ids(encoding, text)) == n + 1
+
+
 PRIVATE = [
     (1, "mail a.b@c.example.com, a@b no, x@y.z@q.r.s end"),
     (2, "ip 1.2.3.4 and 300.1.1.1 and 1.2.3.4.5.6.7.8 and 0001.02.3.255"),
@@ -336,6 +392,125 @@ def test_disclosing_terms_far_from_their_entity(spark):
         assert clean[doc] == text.replace("QUILLFEATHER", "[TERM]").replace("Quillfeather", "[TERM]").replace("q@x.example.org", "[EMAIL]")
 
 
+@pytest.mark.parametrize("n", [60, 2000])
+def test_ordinary_rare_words_stay(spark, n):
+    """Words of one text beside an entity of one text are no names of it where there are several, at any size of the corpus."""
+    rare = "zanverol quimbast tolfrex mabrindle"
+    rows = [(1, f"note from {rare} at q@x.example.org about tea today")]
+    rows += [(2 + i, f"note {i} from Quillfeather {'ox elk yak'.split()[i % 3]} at w@y.example.org") for i in range(6)]
+    # A word of two texts, one of which holds the entity.
+    rows += [(10, "shared brontide at e@z.example.org"), (11, "shared brontide again")]
+    rows += [(100 + i, f"note {i} from someone about tea today, ox elk yak shared again") for i in range(n)]
+    found = {r.doc_id: r for r in disclosure.personal_data(cases.frame(spark, rows, extra=False)).collect()}
+    assert [found[d].n_term for d in (1, 2, 7, 10, 11, 100)] == [0, 1, 1, 0, 0, 0]
+
+
+def _plain_ftrl(rows, p):
+    """Weights of FTRL-proximal, coordinate by coordinate, over rows of (features, label)."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i, l1):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((p.beta + math.sqrt(n[i])) / p.alpha + p.l2)
+
+    for features, label in rows:
+        at = [*features, "bias"]
+        w = {i: weight(i, 0 if i == "bias" else p.l1) for i in at}
+        g = 1 / (1 + math.exp(-sum(w.values()))) - label
+        for i in at:
+            sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / p.alpha
+            z[i] += g - sigma * w[i]
+            n[i] += g * g
+    return {i: weight(i, 0 if i == "bias" else p.l1) for i in list(z)}
+
+
+def test_scores_equal_plain_ftrl_for_any_partitions_and_batches(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["you", "vile", "grub", "kind", "soul", "tea", f"w{i % 50}"]) for _ in range(rng.randint(0, 12)))) for i in range(300)]
+    labels = [(i, int("vile" in t and "grub" in t)) for i, t in rows]
+    labels += [(7, 0), (7, 1), (8, 1 - labels[8][1]), (9, None), (10**6, 1), labels[11], labels[11]]
+    parameters = toxicity.Ftrl(max_rows=100)
+    # The documented sample: ids with one label outside the holdout, the first of either label by a hash.
+    one = {d: {y for e, y in labels if e == d and y is not None} for d, _ in rows}
+    usable = [(d, min(one[d])) for d, _ in rows if d not in HELD and len(one[d]) == 1]
+    order = {r.d: (r.a, r.b) for r in spark.createDataFrame([(d,) for d, _ in usable], "d long").select("d", F.xxhash64("d").alias("a"), F.xxhash64("d", F.lit(1)).alias("b")).collect()}
+    chosen = [x for k in (0, 1) for x in sorted((x for x in usable if x[1] == k), key=lambda x: order[x[0]][0])[:100]]
+    chosen.sort(key=lambda x: order[x[0]][1])
+    texts, features = dict(rows), toxicity.Features(parameters)
+    learned = [(features.of(texts[d]).tolist(), y) for d, y in chosen] * parameters.passes
+    w = _plain_ftrl(learned, parameters)
+    share = [min(n, 100) / n for n in (sum(y == k for _, y in usable) for k in (0, 1))]
+    bias = w["bias"] + math.log(share[0] / share[1])
+    want = {d: 1 / (1 + math.exp(-bias - sum(w.get(i, 0.0) for i in features.of(t).tolist()))) for d, t in rows}
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    for parts, size in ((1, 10_000), (5, 7)):
+        spark.conf.set(batch, size)
+        try:
+            docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+            table = spark.createDataFrame(labels, "doc_id long, toxic int").repartition(parts)
+            got = {r.doc_id: r.score for r in toxicity.toxicity(docs, table, parameters).collect()}
+        finally:
+            spark.conf.unset(batch)
+        assert all(abs(got[d] - want[d]) < 1e-5 for d in want) and max(got.values()) > 0.6
+
+
+def test_a_repeated_id_gives_one_document_to_learn_from(spark):
+    rows = [(i, "you vile grub" if i % 2 else "you kind soul") for i in range(100)] + [(1, f"other text {i}") for i in range(500)]
+    table = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, toxic int")
+    score = {n: toxicity.toxicity(spark.createDataFrame(rows[:n], "doc_id long, text string"), table).filter("doc_id = 3").first().score for n in (101, 600)}
+    assert score[101] == score[600] > 0.5
+
+
+#: Columns that are named as the operators name some of theirs.
+INNER = "_score double, score string, _row_key int, _text_key int, key string, `row` int, _clean string, clean int, _terms string, terms int, _base int"
+
+
+def test_inner_names_do_not_clash(spark):
+    mine = (0.5, "s", 1, 2, "k", 3, "c", 4, "t", 5, 6)
+    rows = [(i, f"note {i} from someone at a{i % 3}@x.example.org", *mine) for i in range(12)] + [(20, None, *mine), (21, "", *mine)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {INNER}")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, toxic int")
+    items = spark.createDataFrame([("b", "nothing of these")], "item_id string, text string")
+    for out in (
+        toxicity.not_toxic(docs, labels.limit(0)),
+        bbit_minhash.deduplicated(docs, words=20),
+        winnowing.clean_documents(docs, items),
+        disclosure.sanitised(docs),
+    ):
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert tuple(r)[2:] == mine
+    assert disclosure.sanitised(docs).count() == 14
+
+
+def test_a_work_folder_is_found_where_none_is_set(tmp_path):
+    """In a session of its own, without spark.checkpoint.dir and without the settings of the installation."""
+    code = """
+import math
+import random
+import sys
+from pyspark.sql import SparkSession
+from tablegauge.llm import bbit_minhash
+from tablegauge.llm.common import shared_dir
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+assert shared_dir(spark) == shared_dir(spark)
+docs = spark.createDataFrame([(1, "a b c"), (2, "a b c")], "doc_id long, text string")
+assert bbit_minhash.near_duplicates(docs).filter("kept").count() == 1
+print("fine")
+"""
+    import os
+    import subprocess
+    from pathlib import Path
+
+    (tmp_path / "conf").mkdir()
+    root = str(Path(__file__).resolve().parents[2])
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path / "conf"), "PYTHONPATH": f"{root}:{os.environ.get('PYTHONPATH', '')}"}
+    done = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.stdout.strip().endswith("fine"), done.stderr[-2000:]
+
+
 def test_toxicity_learns_without_the_holdout(spark):
     rows, labels = [], []
     for i in range(400):

@@ -43,12 +43,42 @@ def test_run_gives_what_the_stages_give(spark, stages):
     assert sorted(found) == sorted(stages["packing"].select(columns).collect())
 
 
+def test_stages_on_odd_rows_and_on_an_empty_table(spark):
+    """Nulls, empty and very long texts, ties, repeated rows and clashing names: no row is lost but by a decision."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    kind = docs.schema.simpleString()[len("struct<") : -1].replace(":", " ")
+    own = "key string, `row` int, score double, _terms int, `a.b` string"
+    mine = ("k", 1, 2.0, 3, "dot")
+    long = " ".join(f"w{i}" for i in range(120_000))
+    texts = {1: None, 2: "", 3: " \t\n", 4: " " * 1_500_000, 5: "x" * 1_000_000, 6: long, 7: "one word", 8: "one word", None: "no id"}
+    rows = [(d, t, None, None, None, *mine) for d, t in texts.items()]
+    assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    odd = spark.createDataFrame([*rows, rows[-1], rows[6]], f"{kind}, {own}")
+    for name, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, odd.limit(0), SF_DIR)
+        found = stage(spark, odd, SF_DIR)
+        assert empty.count() == 0
+        if name == "packing":
+            assert sum(r.length for r in found.filter("doc_id = 4").collect()) == 1_500_001
+            assert found.filter("piece = 0").count() == odd.count()
+            continue
+        assert found.columns == empty.columns == odd.columns
+        kept = found.collect()
+        assert all(tuple(r)[5:] == mine for r in kept)
+        ids = sorted(r.doc_id for r in kept if r.doc_id is not None)
+        if name == "near_duplicates":  # one of the copies stays, and one of equal rows
+            assert ids == [1, 2, 3, 4, 5, 6, 7] and len(kept) == 8
+        else:
+            assert ids == [1, 2, 3, 4, 5, 6, 7, 7, 8] and len(kept) == odd.count()
+            assert {r.doc_id: r.text for r in kept if r.doc_id is not None} == {d: t for d, t in texts.items() if d is not None}
+
+
 def test_the_entry_registers_each_operator(monkeypatch):
     import __spark_entry__ as entry
 
     names = entry.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
     try:
