@@ -4,10 +4,13 @@
 2. For each entity the texts that hold it are counted, for each term of these texts the texts that hold
    both, and those that hold the term at all. Exact copies of a text count once. A pair is only counted
    where the counts of its two sides leave room for the rule.
-3. A term discloses an entity when their pointwise mutual information reaches `share` of the entity's
-   own information: PMI(term; entity) >= share * IC(entity), where PMI is smoothed by `prior` texts in
-   which entity and term are independent, so that few texts tell less than many. Then all its
-   occurrences in the texts that hold the entity are spans too, generalised or removed with the rest.
+3. A term discloses an entity when their pointwise mutual information reaches `bits` and comes within
+   `-log2(certainty)` bits of the entity's own information: PMI(term; entity) >= IC(entity) + log2(certainty),
+   so that a text with the term holds the entity with that probability, however large the corpus. PMI is smoothed by `prior`
+   texts in which entity and term are independent, so few texts tell less than many. Terms that meet the
+   entity in one text only tell the least: where a text has more than `few` of them, they are ordinary
+   rare words, and none counts. All occurrences of a disclosing term in the texts that hold the entity
+   are spans too, generalised or removed with the rest.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from tablegauge.llm.common import broadcast_if_small, saved, text_keys
+from tablegauge.llm.common import boxed, broadcast_if_small, saved, text_keys
 
 #: The kinds of the base, in their order; `term` spans are added by the method.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -136,18 +139,14 @@ def _document_counts(docs: DataFrame, terms: DataFrame, copies: DataFrame) -> Da
     wanted = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passes = np.unpackbits(np.frombuffer(wanted.value, np.uint8), bitorder="little")
-        known: dict[str, int | None] = {}
+        passes = np.unpackbits(np.frombuffer(wanted.value, np.uint8), bitorder="little").astype(bool)
         for batch in batches:
             counts: Counter[tuple[int, int]] = Counter()
             for text, n in zip(batch.column("text"), batch.column("n").to_pylist()):
                 words = {w.lower() for w in set(_TERM.findall(text.as_py() or ""))}
-                if len(known) > 500_000:
-                    known.clear()
-                for w in words.difference(known):
-                    h = _term_hash(w)
-                    known[w] = h if passes[(h & ((1 << 64) - 1)) >> (64 - _FILTER_BITS)] else None
-                counts.update((h, n) for h in map(known.__getitem__, words) if h is not None)
+                h = np.fromiter(map(_term_hash, words), dtype=np.int64, count=len(words))
+                h = h[passes[h.view(np.uint64) >> np.uint64(64 - _FILTER_BITS)]]
+                counts.update((x, n) for x in h.tolist())
             yield pa.RecordBatch.from_pydict(
                 {
                     "term": pa.array([h for h, _ in counts], pa.int64()),
@@ -170,7 +169,7 @@ def _n_texts(docs: DataFrame, copies: DataFrame) -> int:
     return rows - (copies.agg(F.sum(F.col("n") - 1)).first()[0] or 0)
 
 
-def disclosing_terms(docs: DataFrame, share: float = 0.9, prior: float = 1 / 3) -> DataFrame:
+def disclosing_terms(docs: DataFrame, certainty: float = 0.7, bits: float = 3, prior: float = 1 / 3, few: int = 2) -> DataFrame:
     """k1, k2, terms (hashes): the terms that disclose an entity of the text, for every text that has some."""
     held, copies = saved(_held(docs)), _copies(docs)
     n = F.lit(float(max(_n_texts(docs, copies), 1)))
@@ -184,19 +183,23 @@ def disclosing_terms(docs: DataFrame, share: float = 0.9, prior: float = 1 / 3)
     counts = _document_counts(docs, terms.select("term").distinct(), copies)
 
     def discloses(n_both: Column) -> Column:
-        information = F.log2(n / F.col("n_entity"))
+        # PMI - IC is the logarithm of the share of the term's texts that hold the entity.
         given_term = (n_both + F.lit(prior) * F.col("n_entity") / n) / (F.col("n_docs") + F.lit(prior))
-        return (information > 0) & (information + F.log2(given_term) >= share * information)
+        return (given_term >= certainty) & (given_term * n >= F.lit(2.0**bits) * F.col("n_entity"))
 
-    # No pair occurs more often than either side, so PMI with that count is an upper bound. Without smoothing, which
-    # only lowers PMI here, it asks for n_docs <= n ** (1 - share) * n_entity ** share, at most with `most` texts.
-    most = entities.agg(F.max("n_entity")).first()[0] or 0
-    able = F.col("n_docs") <= F.pow(n, F.lit(1 - share)) * F.lit(float(most) ** share) + 1
+    # No pair occurs more often than either side, so that count gives an upper bound of PMI.
+    most = float(entities.agg(F.max("n_entity")).first()[0] or 0)
+    able = F.least(F.lit(most), F.col("n_docs")) + prior >= F.lit(certainty) * (F.col("n_docs") + prior)
     rare = terms.join(saved(counts.filter(able)), "term")
     pairs = saved(rare.join(entities, ["k1", "k2"]).filter(discloses(F.least("n_entity", "n_docs"))))
     both = pairs.groupBy("entity", "term", "n_entity", "n_docs").agg(F.count(F.lit(1)).alias("n_both"))
-    strong = saved(both.filter(discloses(F.col("n_both"))).select("entity", "term"))
-    return pairs.join(strong, ["entity", "term"]).groupBy("k1", "k2").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    strong = saved(both.filter(discloses(F.col("n_both"))).select("entity", "term", "n_both"))
+    met = pairs.join(strong, ["entity", "term"]).groupBy("k1", "k2", "term").agg(F.max("n_both").alias("n_both"))
+    once = F.collect_list(F.when(F.col("n_both") == 1, F.col("term")))
+    often = F.collect_list(F.when(F.col("n_both") > 1, F.col("term")))
+    of_text = met.groupBy("k1", "k2").agg(once.alias("once"), often.alias("often"))
+    found = F.when(F.size("once") <= few, F.concat("often", "once")).otherwise(F.col("often"))
+    return of_text.select("k1", "k2", F.sort_array(found).alias("terms")).filter(F.size("terms") > 0)
 
 
 _SPANS = T.ArrayType(
@@ -236,14 +239,14 @@ def _known_terms(docs: DataFrame, key: str, **parameters: float) -> DataFrame:
     return broadcast_if_small(found.select(F.struct("k1", "k2").alias(key), F.col("terms").alias("_terms")), 100 + 8 * F.size("_terms"))
 
 
-def personal_data(docs: DataFrame, share: float = 0.9, prior: float = 1 / 3) -> DataFrame:
+def personal_data(docs: DataFrame, certainty: float = 0.7, bits: float = 3, prior: float = 1 / 3, few: int = 2) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, n_term, spans for every row of `docs`.
 
     Null and empty texts have no spans. Repeated rows get equal results. Spans of one kind do not overlap;
     those of two kinds may. Other columns are ignored; an empty table gives no rows.
     """
     keyed = docs.select("doc_id", F.struct(*text_keys(F.col("text"))).alias("key"), "text")
-    terms = _known_terms(docs, "key", share=share, prior=prior)
+    terms = _known_terms(docs, "key", certainty=certainty, bits=bits, prior=prior, few=few)
     out = keyed.join(terms, "key", "left").select("doc_id", _base("text").alias("base"), _of_terms("text", "_terms").alias("terms"))
     number = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == KINDS.index(kind))).cast("long").alias(f"n_{kind}")
     return out.select(
@@ -268,21 +271,21 @@ def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series([one(t, s) for t, s in zip(texts, spans)], dtype=object)
 
 
-def sanitised(docs: DataFrame, share: float = 0.9, prior: float = 1 / 3) -> DataFrame:
+def sanitised(docs: DataFrame, certainty: float = 0.7, bits: float = 3, prior: float = 1 / 3, few: int = 2) -> DataFrame:
     """`docs` with every span of personal data replaced by its kind, as in [EMAIL]; no row is left out.
 
     n_chars, where there is such a column, follows the new text. Cases as in `personal_data`.
     """
-    keyed = docs.withColumn("_text_key", F.struct(*text_keys(F.col("text"))))
-    joined = keyed.join(_known_terms(docs, "_text_key", share=share, prior=prior), "_text_key", "left")
+    keyed = boxed(docs, key=F.struct(*text_keys(F.col("text"))), text=F.col("text"))
+    joined = keyed.join(_known_terms(docs, "key", certainty=certainty, bits=bits, prior=prior, few=few), "key", "left")
     spans = F.array_sort(F.concat(_base("text"), _of_terms("text", "_terms")))
-    out = joined.withColumn("_clean", _without(F.col("text"), spans))
+    out = joined.select("row", _without(F.col("text"), spans).alias("clean"))
     columns = []
     for c in docs.columns:
         if c == "text":
-            columns.append(F.col("_clean").alias("text"))
+            columns.append(F.col("clean").alias("text"))
         elif c == "n_chars":
-            columns.append(F.char_length("_clean").cast(docs.schema["n_chars"].dataType).alias("n_chars"))
+            columns.append(F.char_length("clean").cast(docs.schema["n_chars"].dataType).alias("n_chars"))
         else:
-            columns.append(F.col(f"`{c}`"))
+            columns.append(F.col("row")[c].alias(c))
     return out.select(*columns)
