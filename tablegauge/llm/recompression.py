@@ -13,7 +13,8 @@ stretch. Spark counts anchors over the corpus:
 * an anchor that occurs once reveals nothing, and its windows are unique;
 * stretches of equal words repeat as a whole, with all of their windows;
 * of the stretches whose words occur once, but whose anchor occurs again, the windows are compared one by
-  one, by the hash of their words, with each other and with one stretch of each repeated content.
+  one with each other and with one stretch of each repeated content: by their anchor and the hash of their
+  words, two independent numbers of 64 bits.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -68,12 +69,11 @@ def compress_round(names: np.ndarray, starts: np.ndarray, number: int) -> tuple[
 
 
 class Parser:
-    """Anchors and stretches of texts; hashes of frequent words are kept."""
+    """Anchors and stretches of texts."""
 
     def __init__(self, window: int) -> None:
         self.window = window
         self.rounds, self.margin = rounds_for(window)
-        self.known: dict[bytes, int] = {}
         self.powers = self.inverse = np.ones(1, dtype=_U)
 
     def _grow(self, n: int) -> None:
@@ -91,12 +91,7 @@ class Parser:
             self.anchors = np.empty(0, dtype=_U)
             self.lo = self.hi = np.empty(0, dtype=np.int64)
             return
-        known = self.known
-        if len(known) > 200_000:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = xxh64_intdigest(word)
-        h = _mix(np.fromiter(map(known.__getitem__, words), dtype=_U, count=len(words)))
+        h = _mix(np.fromiter(map(xxh64_intdigest, words), dtype=_U, count=len(words)))
         names, starts = h, np.arange(len(words))
         for number in range(self.rounds):
             names, starts = compress_round(names, starts, number)
@@ -180,12 +175,14 @@ def repeated_passages_removed(docs: DataFrame, window: int = 35) -> DataFrame:
     a window, lose nothing; the kept text of a null text is empty. A null doc_id is kept as null; other
     columns are ignored; an empty table gives no rows.
     """
-    occurring = _stretches(docs, window).groupBy("anchor").agg(
+    # Texts are parsed once; the numbers of a stretch take less room than its words.
+    stretches = saved(_stretches(docs, window))
+    occurring = stretches.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), F.min("digest").alias("lo"), F.max("digest").alias("hi")
     )
     # Written, so that the join has a plain exchange on either side, which adaptive execution can split.
     repeated = saved(occurring.filter("n > 1").select("anchor", (F.col("lo") < F.col("hi")).alias("differ")))
-    found = saved(_stretches(docs, window).join(repeated, "anchor"))
+    found = saved(stretches.join(repeated, "anchor"))
     # Of equal stretches under an anchor that has others too, one stands for all.
     one = F.min(F.struct("mark", "doc_id", "stretch")).alias("one")
     contents = saved(found.filter("differ").groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("n"), one))
@@ -196,28 +193,32 @@ def repeated_passages_removed(docs: DataFrame, window: int = 35) -> DataFrame:
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser(window)
         for batch in batches:
-            row, place, digest = [], [], []
+            row, place, anchor, digest = [], [], [], []
             for i, (raw, numbers) in enumerate(zip(batch.column("raw"), batch.column("open"))):
                 parser.parse((raw.as_py() or b"").split())
                 numbers = np.array(sorted(numbers.as_py()))
                 at = np.concatenate([np.arange(a, b + 1) for a, b in zip(parser.lo[numbers], parser.hi[numbers])])
                 row.append(np.full(len(at), i))
                 place.append(at)
-                digest.append(parser.digests(at, at + window) ^ parser.anchors[at])
+                anchor.append(parser.anchors[at])
+                digest.append(parser.digests(at, at + window))
             if row:
                 row = pa.array(np.concatenate(row))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(row), batch.column("mark").take(row), pa.array(np.concatenate(place).astype(np.int32))]
-                    + [pa.array(np.concatenate(digest).astype(np.int64))],
-                    names=["doc_id", "mark", "place", "digest"],
+                    + [pa.array(np.concatenate(x).astype(np.int64)) for x in (anchor, digest)],
+                    names=["doc_id", "mark", "place", "anchor", "digest"],
                 )
 
     opened = contents.select("one.*").groupBy("doc_id", "mark").agg(F.collect_list("stretch").alias("open"))
     listed = _of_rows(texts, opened, "inner")
     # Windows of one stretch are never equal, and of repeated rows one counts.
-    one_by_one = listed.mapInArrow(windows, f"doc_id {kind}, mark long, place int, digest long").distinct()
-    times = F.count(F.lit(1)).over(Window.partitionBy("digest"))
-    again = one_by_one.withColumn("times", times).filter("times > 1").select("doc_id", "mark", (2 * F.col("place") + 1).alias("code"))
+    one_by_one = listed.mapInArrow(windows, f"doc_id {kind}, mark long, place int, anchor long, digest long")
+    one_by_one = saved(one_by_one.distinct())
+    # Counted before they are joined, so that a window that is everywhere gathers in no task.
+    times = one_by_one.groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("times"))
+    often = saved(times.filter("times > 1").select("anchor", "digest"))
+    again = one_by_one.join(often, ["anchor", "digest"]).select("doc_id", "mark", (2 * F.col("place") + 1).alias("code"))
     twice = saved(contents.filter("n > 1").select("anchor", "digest"))
     alike = found.filter("differ").join(twice, ["anchor", "digest"]).select("doc_id", "mark", "stretch")
     whole = alike.union(found.filter("NOT differ").select("doc_id", "mark", "stretch")).distinct()
