@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -16,6 +17,11 @@ END_ID = 2
 #: Fixed value: the pre-token pattern of the byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Fixed value: what the pattern takes as white space.
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The pattern fails from about a million characters of white space on.
+LONG_SPACE = 100_000
+
 
 @lru_cache(maxsize=2)
 def encoder(ranks_path: str) -> tiktoken.Encoding:
@@ -27,11 +33,26 @@ def encoder(ranks_path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+def text_ids(encoding: tiktoken.Encoding, text: str, long_space: int = LONG_SPACE) -> list[int]:
+    """Ids of a text. The pattern backtracks over white space, so runs of `long_space` and more are cut out.
+
+    The pattern takes such a run as one piece, but for its last character where anything but an added token follows.
+    """
+    ids, done = [], 0
+    if len(text) >= long_space:
+        added = tuple(encoding.special_tokens_set)
+        for run in re.finditer(f"[{_SPACE}]{{{long_space},}}", text):
+            last = run.end() == len(text) or text.startswith(added, run.end())
+            end = run.end() - (not last)
+            ids += encoding.encode(text[done : run.start()], allowed_special="all")
+            ids += encoding._encode_single_piece(text[run.start() : end])
+            done = end
+    return ids + encoding.encode(text[done:], allowed_special="all")
+
+
 def document_ids(encoding: tiktoken.Encoding, text: str | None, end_id: int = END_ID) -> np.ndarray:
     """Ids of a text and the end id, unsigned 32-bit; a null text has the end id only."""
-    ids = encoding.encode(text, allowed_special="all") if text else []
-    ids.append(end_id)
-    return np.array(ids, dtype="<u4")
+    return np.array([*(text_ids(encoding, text) if text else ()), end_id], dtype="<u4")
 
 
 def piece_bounds(n_ids: int, size: int) -> Iterator[tuple[int, int]]:

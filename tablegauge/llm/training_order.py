@@ -1,6 +1,8 @@
 """Token ids in training order: every sequence gets a slot of a keyed permutation.
 
-1. Documents become sequences of at most `length` ids, written once with their place (part, row).
+1. The ids of documents, one after the other, are cut into sequences of `length` ids, which are written
+   once, compressed, with their place (part, row) and an index of their documents. Only the last sequence
+   of a part is padded.
 2. Counts per part give each sequence a number below N. A Feistel network with a secret key permutes
    the numbers; results of N or more are permuted again (cycle walking) until they are below N.
 3. Sequences move once, to the range of whole shards they belong to, are sorted there and written as
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablegauge.llm.common import saved, shared_dir
-from tablegauge.llm.tokens import END_ID, document_ids, encoder, piece_bounds
+from tablegauge.llm.tokens import END_ID, document_ids, encoder
 
 _U = np.uint64
 
@@ -54,34 +56,67 @@ def permuted(numbers: np.ndarray, n: int, key: int, rounds: int = 6) -> np.ndarr
     return out.astype(np.int64)
 
 
-def _sequences(docs: DataFrame, ranks_path: str, length: int, end_id: int) -> DataFrame:
+def id_bytes(ranks_path: str, *more: int) -> int:
+    """Bytes of an id in a record: 2 if the vocabulary and the ids in `more` fit, else 4."""
+    return 2 if max(encoder(ranks_path).max_token_value, *more) < 1 << 16 else 4
+
+
+def _squeezed(ids: np.ndarray) -> bytes:
+    """Ids byte place by byte place, as the high bytes are few different ones, then deflated."""
+    return zlib.compress(np.ascontiguousarray(ids.view(np.uint8).reshape(len(ids), -1).T).tobytes(), 1)
+
+
+def _restored(squeezed: bytes, width: int) -> bytes:
+    planes = np.frombuffer(zlib.decompress(squeezed), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).tobytes()
+
+
+def _sequences(docs: DataFrame, ranks_path: str, length: int, end_id: int, width: int) -> DataFrame:
+    """part, row, ids (squeezed), and doc_ids, pieces, offsets of the documents in each sequence."""
+    lists = ("doc_ids", "pieces", "offsets")
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, part, n = encoder(ranks_path), TaskContext.get().partitionId(), 0
+        ids, filled, index, done = [], 0, ([], [], []), []
+        types: list[pa.DataType] = []
+
+        def full() -> None:
+            nonlocal ids, filled, index
+            done.append((_squeezed(np.concatenate(ids)), *index))
+            ids, filled, index = [], 0, ([], [], [])
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            nonlocal n
+            if done:
+                squeezed, *indexes = zip(*done)
+                arrays = [pa.array([part] * len(done), pa.int32()), pa.array(range(n, n + len(done)), pa.int64()), pa.array(squeezed, pa.binary())]
+                arrays += [pa.array(x, pa.list_(t)) for x, t in zip(indexes, types)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["part", "row", "ids", *lists])
+                n += len(done)
+                done.clear()
+
         for batch in batches:
-            row, piece, ids = [], [], []
-            for i, text in enumerate(batch.column("text")):
-                whole = document_ids(encoding, text.as_py(), end_id)
-                if whole.max() >= 1 << 16:
-                    raise ValueError("ids of 65536 and more do not fit a 16-bit record")
-                whole = whole.astype("<u2")
-                for k, (at, m) in enumerate(piece_bounds(len(whole), length)):
-                    row.append(i)
-                    piece.append(k)
-                    ids.append(whole[at : at + m].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").take(pa.array(row, pa.int64())),
-                    pa.array(piece, pa.int32()),
-                    pa.array(ids, pa.binary()),
-                    pa.array([part] * len(row), pa.int32()),
-                    pa.array(range(n, n + len(row)), pa.int64()),
-                ],
-                names=["doc_id", "piece", "ids", "part", "row"],
-            )
-            n += len(row)
+            types = [batch.schema.field("doc_id").type, pa.int32(), pa.int32()]
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
+                whole = document_ids(encoding, text.as_py(), end_id).astype(f"<u{width}")
+                at = piece = 0
+                while at < len(whole):
+                    take = min(length - filled, len(whole) - at)
+                    for values, value in zip(index, (doc_id.as_py(), piece, filled)):
+                        values.append(value)
+                    ids.append(whole[at : at + take])
+                    at, piece, filled = at + take, piece + 1, filled + take
+                    if filled == length:
+                        full()
+                if len(done) >= 1024:
+                    yield from rows()
+            yield from rows()
+        if filled:
+            full()
+            yield from rows()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(cut, f"doc_id {kind}, piece int, ids binary, part int, row long")
+    return docs.select("doc_id", "text").mapInArrow(cut, f"part int, row long, ids binary, doc_ids array<{kind}>, pieces array<int>, offsets array<int>")
 
 
 def training_order(
@@ -99,12 +134,14 @@ def training_order(
     The shards are `path/<shard>.bin`; `path` is a folder or URI that all executors reach, by default a new one in
     the shared folder. They are written when this is called; rows of a shard are sorted by slot.
 
-    Columns: slot (0..N-1, each once), shard and place (slot // shard_slots and the rest), doc_id,
-    piece, n_ids, ids_crc32 (of the ids without padding, 16 bits each) and record (2 * length bytes,
-    little-endian, padded with `pad_id`). A null text is an empty document, whose only id is `end_id`.
-    Repeated rows are separate documents; other columns are ignored; an empty table gives no rows.
+    Columns: slot (0..N-1, each once), shard and place (slot // shard_slots and the rest); doc_ids, pieces and
+    offsets of the documents in the sequence (a document goes on in further sequences as piece 1, 2 ...);
+    n_ids, ids_crc32 (of the ids without padding) and record (`length` ids of `id_bytes` bytes, little-endian,
+    padded with `pad_id`). A null text is an empty document, whose only id is `end_id`. Texts may be of any
+    length. Repeated rows are separate documents; other columns are ignored; an empty table gives no rows.
     """
-    sequences = saved(_sequences(docs, ranks_path, length, end_id))
+    width = id_bytes(ranks_path, end_id, pad_id)
+    sequences = saved(_sequences(docs, ranks_path, length, end_id, width))
     counts = sequences.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     # One row per written part; the driver sees their sum only.
     bases = saved(counts.select("part", "n", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base")))
@@ -116,21 +153,21 @@ def training_order(
 
     # About 32 MB of ids in a partition, in whole shards.
     shards = -(-max(n, 1) // shard_slots)
-    partitions = max(1, min(shards, -(-n * 2 * length // (32 << 20))))
+    partitions = max(1, min(shards, -(-n * width * length // (32 << 20))))
     numbered = sequences.join(bases.select("part", "base"), "part").withColumn("slot", slot_of(F.col("base") + F.col("row")))
     placed = (
         numbered.withColumn("shard", F.expr(f"slot div {shard_slots}"))
-        .select("slot", "shard", "doc_id", "piece", "ids")
+        .select("slot", "shard", "ids", "doc_ids", "pieces", "offsets")
         .repartitionByRange(partitions, "shard")  # a shard is in one partition as a whole
         .sortWithinPartitions("slot")
     )
     path = path or f"{shared_dir(docs.sparkSession)}/{uuid.uuid4().hex}-shards"
     kind = docs.schema["doc_id"].dataType.simpleString()
-    pad = np.full(length, pad_id, dtype="<u2").tobytes()
+    pad = np.full(length, pad_id, dtype=f"<u{width}").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = _Shards(path)
-        listed: dict[str, list] = {"doc_id": [], "piece": [], "n_ids": []}
+        listed: dict[str, list] = {"n_ids": [], "doc_ids": [], "pieces": [], "offsets": []}
 
         def index(shard: int | None) -> Iterator[pa.RecordBatch]:
             if shard is not None:
@@ -140,21 +177,21 @@ def training_order(
                     values.clear()
 
         for batch in batches:
-            types = [batch.schema.field("doc_id").type, pa.int32(), pa.int64()]
-            columns = (batch.column(c).to_pylist() for c in ("shard", "doc_id", "piece", "ids"))
-            for shard, doc_id, piece, ids in zip(*columns):
-                if shard != shards.shard:
+            types = [pa.int64(), *(batch.schema.field(c).type for c in ("doc_ids", "pieces", "offsets"))]
+            for shard, squeezed, *documents in zip(*(batch.column(c) for c in ("shard", "ids", "doc_ids", "pieces", "offsets"))):
+                if shard.as_py() != shards.shard:
                     yield from index(shards.close())
-                shards.write(shard, ids + pad[len(ids) :])
-                for values, value in zip(listed.values(), (doc_id, piece, len(ids) // 2)):
+                ids = _restored(squeezed.as_py(), width)
+                shards.write(shard.as_py(), ids + pad[len(ids) :])
+                for values, value in zip(listed.values(), (len(ids) // width, *(x.as_py() for x in documents))):
                     values.append(value)
         yield from index(shards.close())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, root = _filesystem(path)
-        stride = 2 * length
+        stride = width * length
         for batch in batches:
-            doc_ids, pieces, n_ids = (batch.column(c) for c in ("doc_id", "piece", "n_ids"))
+            n_ids, *documents = (batch.column(c) for c in ("n_ids", "doc_ids", "pieces", "offsets"))
             for i, shard in enumerate(batch.column("shard").to_pylist()):
                 numbers = n_ids[i].as_py()
                 with target.open_input_file(f"{root}/{shard}.bin") as data:
@@ -165,23 +202,26 @@ def training_order(
                         raw = data.read(m * stride)
                         records = [raw[k * stride : (k + 1) * stride] for k in range(m)]
                         place = np.arange(at, at + m)
-                        crc = [zlib.crc32(x[: 2 * k]) for x, k in zip(records, numbers[at : at + m])]
+                        crc = [zlib.crc32(x[: width * k]) for x, k in zip(records, numbers[at : at + m])]
                         yield pa.RecordBatch.from_arrays(
                             [
                                 pa.array(shard * shard_slots + place), pa.array([shard] * m, pa.int64()), pa.array(place),
-                                doc_ids[i].values.slice(at, m), pieces[i].values.slice(at, m),
+                                *(x[i].values.slice(at, m) for x in documents),
                                 n_ids[i].values.slice(at, m), pa.array(crc, pa.int64()), pa.array(records, pa.binary()),
                             ],
-                            names=["slot", "shard", "place", "doc_id", "piece", "n_ids", "ids_crc32", "record"],
+                            names=["slot", "shard", "place", "doc_ids", "pieces", "offsets", "n_ids", "ids_crc32", "record"],
                         )
 
-    written = saved(placed.mapInArrow(write, f"shard long, doc_id array<{kind}>, piece array<int>, n_ids array<long>"))
-    return written.mapInArrow(
-        read, f"slot long, shard long, place long, doc_id {kind}, piece int, n_ids long, ids_crc32 long, record binary"
-    )
+    documents = f"doc_ids array<{kind}>, pieces array<int>, offsets array<int>"
+    arrays = documents.replace("array<", "array<array<").replace(">", ">>")
+    written = saved(placed.mapInArrow(write, f"shard long, n_ids array<long>, {arrays}"))
+    return written.mapInArrow(read, f"slot long, shard long, place long, {documents}, n_ids long, ids_crc32 long, record binary")
 
 
 def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path and the path in it. `file:/x`, `file:///x` and a path without a scheme are local."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
@@ -234,14 +274,14 @@ def write_shards(ordered: DataFrame, path: str, length: int = 1024, shard_slots:
     return saved(whole.mapInArrow(write, "shard long, n_slots long"))
 
 
-def read_slots(path: str, start: int, length: int = 1024, shard_slots: int = 4096) -> Iterator[np.ndarray]:
+def read_slots(path: str, start: int, length: int = 1024, shard_slots: int = 4096, width: int = 2) -> Iterator[np.ndarray]:
     """Records from slot `start` on, shard by shard, to the end: what a trainer that resumes reads."""
     target, root = _filesystem(path)
-    stride = 2 * length
+    stride = width * length
     shard, place = divmod(start, shard_slots)
     while target.get_file_info(f"{root}/{shard}.bin").type == fs.FileType.File:
         with target.open_input_file(f"{root}/{shard}.bin") as data:
             data.seek(place * stride)
             while record := data.read(stride):
-                yield np.frombuffer(record, dtype="<u2")
+                yield np.frombuffer(record, dtype=f"<u{width}")
         shard, place = shard + 1, 0
