@@ -43,6 +43,80 @@ def test_blocks_keep_all_text_of_plain_markup():
     assert long[0].text == ("word " * 50_000).strip()
 
 
+def _without_names(page):
+    """The page without class, id and role, and with div for all elements of telling names."""
+    page = re.sub(r"""\s(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", "", page, flags=re.I)
+    telling = html_mincut.BOILERPLATE_TAGS | {"header", "article", "main", "section"}
+    return re.sub(rf"<(/?)({'|'.join(telling)})\b", r"<\1div", page, flags=re.I)
+
+
+def test_the_cut_decides_where_names_do_not_tell(spark):
+    """On the given pages without their names, the cut mends nearly all that the look of a block alone gets wrong."""
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect() if r.html]
+    blocks = [b for b in map(html_mincut.blocks_of, pages) if b]
+    named = [b for page in blocks for b in page if b.hint]
+    weights, cut = html_mincut.fit_weights([b.features for b in named], [int(b.hint > 0) for b in named]), html_mincut.Cut()
+    by_look = by_cut = n = 0
+    for page in pages:
+        known, bare = html_mincut.blocks_of(page), html_mincut.blocks_of(_without_names(page))
+        if known and [b.text for b in known] == [b.text for b in bare]:
+            assert not any(b.hint for b in bare)
+            truth = [b.hint > 0 for b in known]
+            # With the names, names, look and neighbours agree.
+            assert html_mincut.label_blocks(known, weights, cut) == truth
+            look = np.array([b.features for b in bare]) @ weights > 0
+            label = html_mincut.label_blocks(bare, weights, cut)
+            by_look += sum(a != b for a, b in zip(look, truth))
+            by_cut += sum(a != b for a, b in zip(label, truth))
+            n += len(known)
+    assert n > 2000 and by_look > 0.01 * n and by_cut < 0.2 * by_look
+
+
+def test_neighbours_outvote_a_name():
+    """One block of a telling name amid an article's paragraphs, and the other way round."""
+    text = "A sentence of the article that is long enough to look like one, and more of it. "
+    page = f"<div><p>{text}</p><p>{text}</p><p>{text}</p></div>"
+    blocks = html_mincut.blocks_of(page)
+    blocks[1].hint = -1
+    weights = np.array(html_mincut.DEFAULT_WEIGHTS)
+    look = [float(np.dot(b.features, weights)) for b in blocks]
+    assert min(look) > 0
+    name = look[1] + 0.5  # the name tells more than the look of its block
+    alone = html_mincut.Cut(follows=0, siblings=0, hint=name)
+    assert html_mincut.label_blocks(blocks, weights, alone) == [True, False, True]
+    assert html_mincut.label_blocks(blocks, weights, html_mincut.Cut(hint=name)) == [True, True, True]
+
+
+@pytest.mark.parametrize(
+    ("page", "kept"),
+    [
+        ("<div>x" * 24_000, 24_000),
+        ("<a " * 40_000, 1),
+        ("<a " * 40_000 + ">", 0),
+        ("<div>" * 20_000 + "</p>" * 20_000 + "x", 1),
+        ("<!--" * 40_000, 0),
+        ("<svg>" * 20_000, 0),
+        ('<a "' * 20_000 + "<p>x", 1),
+        ("<div>x</div>" * 30_000, 30_000),
+    ],
+)
+def test_broken_pages_take_linear_time(page, kept):
+    import time
+
+    start = time.perf_counter()
+    assert len(html_mincut.blocks_of(page)) == kept
+    html_mincut.main_text(page, np.array(html_mincut.DEFAULT_WEIGHTS))
+    assert time.perf_counter() - start < 8
+
+
+def test_steps_between_elements():
+    blocks = html_mincut.blocks_of("a<div><p>b</p><ul><li>c</li><li>d</li></ul></div><p>e</p>")
+    steps = [y.tree.steps(x.node, y.node) for x, y in zip(blocks, blocks[1:])]
+    assert [b.text for b in blocks] == list("abcde") and steps == [2, 3, 2, 4]
+    deep = html_mincut.blocks_of("x" + "<div>" * 100 + "y")
+    assert deep[1].tree.steps(deep[0].node, deep[1].node) == 64
+
+
 def test_text_after_elements_without_end_tags():
     def texts(page):
         return [b.text for b in html_mincut.blocks_of(page)]
@@ -105,6 +179,14 @@ def test_search_with_few_or_no_candidates(spark):
     vectors = spark.createDataFrame([(0, [1.0, 2.0]), (1, [0.5, -1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<double>")
     found = kd_search.top_k(vectors, vectors.filter("vec_id = 0"), k=5).orderBy("rank").collect()
     assert [(r.vec_id, r.score) for r in found] == [(2, 256 * 256 * 5), (1, 128 * 256 - 256 * 512)]
+    # A vector without components scores 0 with all.
+    more = vectors.unionByName(spark.createDataFrame([(3, []), (4, None)], vectors.schema))
+    found = kd_search.top_k(more, more.filter("vec_id IN (0, 3, 4)"), k=5).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.vec_id, r.score) for r in found] == [
+        (0, 2, 256 * 256 * 5), (0, 3, 0), (0, 1, 128 * 256 - 256 * 512), (3, 0, 0), (3, 1, 0), (3, 2, 0)
+    ]
+    empty = more.filter("vec_id = 3")
+    assert kd_search.top_k(empty.unionByName(empty.withColumn("vec_id", F.lit(5).cast("long"))), empty).collect()[0].score == 0
     assert kd_search.top_k(vectors.limit(0), vectors).count() == 0
     assert kd_search.top_k(vectors, vectors.limit(0)).count() == 0
     assert kd_search.top_k(vectors.limit(1), vectors.limit(1)).count() == 0
