@@ -82,10 +82,10 @@ class KdTree:
 
 
 def quantised(vector: Column, scale: int) -> Column:
-    """floor(scale * x) of every component; null where a component is null or not finite, or without components."""
+    """floor(scale * x) of every component; null where the vector is, or a component is null or not finite."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     whole = F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    return F.when(~bad & (F.size(vector) > 0), whole)
+    return F.when(~bad, whole)
 
 
 def top_k(
@@ -94,9 +94,9 @@ def top_k(
     """query_id, rank (from 1), vec_id, score: the k best of `vectors` for each of `queries`, both vec_id and embedding.
 
     The score is the inner product of the components as integers floor(scale * x), exact while it fits a
-    long; ties go to the smaller vec_id; a query's own id is no candidate. Vectors that are null, empty or
-    hold a null or non-finite component, and null ids, take no part; a shorter vector counts as padded
-    with zeros. Repeated rows of equal id and vector are one. Other columns are ignored; with fewer than k
+    long; ties go to the smaller vec_id; a query's own id is no candidate. Vectors that are null or hold a
+    null or non-finite component, and null ids, take no part; a shorter vector counts as padded with zeros,
+    an empty one too. Repeated rows of equal id and vector are one. Other columns are ignored; with fewer than k
     candidates all are returned, with none no row.
     """
     rows = vectors.select("vec_id", quantised(F.col("embedding"), scale).alias("v")).filter("v IS NOT NULL AND vec_id IS NOT NULL")
@@ -104,6 +104,7 @@ def top_k(
     asked = queries.select(F.col("vec_id").alias("query_id"), quantised(F.col("embedding"), scale).alias("v"))
     asked = saved(asked.filter("v IS NOT NULL AND query_id IS NOT NULL").dropDuplicates(["query_id", "v"]))
     n, m = rows.count(), asked.count()
+    # At least one column, of zeros where all vectors are empty.
     width = rows.union(asked).agg(F.max(F.size("v"))).first()[0] or 1
     shards, blocks = max(1, math.ceil(n / shard_rows)), max(1, math.ceil(m / block_rows))
     shard = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(shards)).cast("int")
