@@ -2,7 +2,7 @@
 
 1. The ids of documents, one after the other, are cut into sequences of `length` ids, which are written
    once, compressed, with their place (part, row) and an index of their documents. Only the last sequence
-   of a part is padded.
+   of a part is padded. Ids are counted, so that a sequence can move with its frequent ids in a byte.
 2. Counts per part give each sequence a number below N. A Feistel network with a secret key permutes
    the numbers; results of N or more are permuted again (cycle walking) until they are below N.
 3. Sequences move once, to the range of whole shards they belong to, are sorted there and written as
@@ -61,18 +61,70 @@ def id_bytes(ranks_path: str, *more: int) -> int:
     return 2 if max(encoder(ranks_path).max_token_value, *more) < 1 << 16 else 4
 
 
-def _squeezed(ids: np.ndarray) -> bytes:
-    """Ids byte place by byte place, as the high bytes are few different ones, then deflated."""
-    return zlib.compress(np.ascontiguousarray(ids.view(np.uint8).reshape(len(ids), -1).T).tobytes(), 1)
+class _Squeezer:
+    """Sequences of ids as bytes for the way: frequent ids take one byte, others two, all of them deflated.
 
+    `ids` are those counted, the most frequent first. Ids that are not among them, or from about place 65,000 on,
+    go whole, in five bytes.
+    """
+
+    def __init__(self, ids: np.ndarray, width: int) -> None:
+        # A first byte below `near` is a place in `ids`; the further ones are blocks of 256 places, 255 an id as it is.
+        self.near, self.dtype = min(255, max(32, (255 * 256 - len(ids)) // 255)), np.dtype(f"<u{width}")
+        ids = ids[: self.near + 256 * (255 - self.near)]
+        place = np.arange(len(ids))
+        codes = np.where(place < self.near, place << 8, (self.near << 8) + place - self.near).astype(np.uint16)
+        self.codes = np.full(int(ids.max(initial=-1)) + 2, 255 << 8, dtype=np.uint16)  # the last one is for all ids beyond
+        self.codes[ids] = codes
+        self.ids = np.zeros(1 << 16, dtype=self.dtype)
+        self.ids[codes] = ids
+
+    def squeezed(self, sequence: bytes) -> bytes:
+        ids = np.frombuffer(sequence, self.dtype)
+        codes = self.codes.take(ids, mode="clip")
+        first = (codes >> 8).astype(np.uint8)
+        low = codes.astype(np.uint8)[(first >= self.near) & (first < 255)]
+        parts = (np.array([len(ids)], "<u4"), first, low, ids[first == 255].astype("<u4"))
+        return zlib.compress(b"".join(x.tobytes() for x in parts), 1)
+
+    def restored(self, squeezed: bytes) -> bytes:
+        data = zlib.decompress(squeezed)
+        n = int.from_bytes(data[:4], "little")
+        first = np.frombuffer(data, np.uint8, n, 4)
+        codes = first.astype(np.uint16) << 8
+        two = (first >= self.near) & (first < 255)
+        low = np.frombuffer(data, np.uint8, np.count_nonzero(two), 4 + n)
+        codes[two] |= low
+        ids = self.ids[codes]
+        ids[first == 255] = np.frombuffer(data, "<u4", offset=4 + n + len(low))
+        return ids.tobytes()
+
+
+#: Ids up to here are counted, by tables of that size in the tasks; a vocabulary is smaller.
+_MOST_COUNTED = 1 << 20
+
+
+def _frequent(sequences: DataFrame, width: int) -> np.ndarray:
+    """The ids that occur, the most frequent first."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, dtype=np.int64)
+        for batch in batches:
+            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), f"<u{width}")
+            n = np.bincount(ids[ids < _MOST_COUNTED], minlength=len(total))
+            n[: len(total)] += total
+            total = n
+        ids = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
-def _restored(squeezed: bytes, width: int) -> bytes:
-    planes = np.frombuffer(zlib.decompress(squeezed), np.uint8).reshape(width, -1)
-    return np.ascontiguousarray(planes.T).tobytes()
+    counts = sequences.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    # One row for each id of the vocabulary that occurs, however many sequences there are.
+    rows = counts.toPandas().sort_values(["n", "id"], ascending=[False, True])
+    return rows["id"].to_numpy(dtype=np.int64)
 
 
 def _sequences(docs: DataFrame, ranks_path: str, length: int, end_id: int, width: int) -> DataFrame:
-    """part, row, ids (squeezed), and doc_ids, pieces, offsets of the documents in each sequence."""
+    """part, row, ids (bytes), and doc_ids, pieces, offsets of the documents in each sequence."""
     lists = ("doc_ids", "pieces", "offsets")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,14 +134,14 @@ def _sequences(docs: DataFrame, ranks_path: str, length: int, end_id: int, width
 
         def full() -> None:
             nonlocal ids, filled, index
-            done.append((_squeezed(np.concatenate(ids)), *index))
+            done.append((np.concatenate(ids).tobytes(), *index))
             ids, filled, index = [], 0, ([], [], [])
 
         def rows() -> Iterator[pa.RecordBatch]:
             nonlocal n
             if done:
-                squeezed, *indexes = zip(*done)
-                arrays = [pa.array([part] * len(done), pa.int32()), pa.array(range(n, n + len(done)), pa.int64()), pa.array(squeezed, pa.binary())]
+                whole, *indexes = zip(*done)
+                arrays = [pa.array([part] * len(done), pa.int32()), pa.array(range(n, n + len(done)), pa.int64()), pa.array(whole, pa.binary())]
                 arrays += [pa.array(x, pa.list_(t)) for x, t in zip(indexes, types)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["part", "row", "ids", *lists])
                 n += len(done)
@@ -147,6 +199,12 @@ def training_order(
     bases = saved(counts.select("part", "n", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base")))
     n = bases.agg(F.sum("n")).first()[0] or 0
 
+    squeezer = _Squeezer(_frequent(sequences, width), width)
+
+    @F.pandas_udf("binary")
+    def squeezed(ids: pd.Series) -> pd.Series:
+        return ids.map(squeezer.squeezed)
+
     @F.pandas_udf("long")
     def slot_of(numbers: pd.Series) -> pd.Series:
         return pd.Series(permuted(numbers.to_numpy(), n, key))
@@ -157,8 +215,9 @@ def training_order(
     numbered = sequences.join(bases.select("part", "base"), "part").withColumn("slot", slot_of(F.col("base") + F.col("row")))
     placed = (
         numbered.withColumn("shard", F.expr(f"slot div {shard_slots}"))
-        .select("slot", "shard", "ids", "doc_ids", "pieces", "offsets")
-        .repartitionByRange(partitions, "shard")  # a shard is in one partition as a whole
+        .select("slot", "shard", squeezed("ids").alias("ids"), "doc_ids", "pieces", "offsets")
+        # Slots are known to be 0 .. n-1, so ranges need no sample; a shard is in one partition as a whole.
+        .repartitionById(partitions, F.expr(f"cast(shard * {partitions} div {shards} as int)"))
         .sortWithinPartitions("slot")
     )
     path = path or f"{shared_dir(docs.sparkSession)}/{uuid.uuid4().hex}-shards"
@@ -178,10 +237,10 @@ def training_order(
 
         for batch in batches:
             types = [pa.int64(), *(batch.schema.field(c).type for c in ("doc_ids", "pieces", "offsets"))]
-            for shard, squeezed, *documents in zip(*(batch.column(c) for c in ("shard", "ids", "doc_ids", "pieces", "offsets"))):
+            for shard, moved, *documents in zip(*(batch.column(c) for c in ("shard", "ids", "doc_ids", "pieces", "offsets"))):
                 if shard.as_py() != shards.shard:
                     yield from index(shards.close())
-                ids = _restored(squeezed.as_py(), width)
+                ids = squeezer.restored(moved.as_py())
                 shards.write(shard.as_py(), ids + pad[len(ids) :])
                 for values, value in zip(listed.values(), (len(ids) // width, *(x.as_py() for x in documents))):
                     values.append(value)
