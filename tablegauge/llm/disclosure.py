@@ -8,9 +8,10 @@
    `-log2(certainty)` bits of the entity's own information: PMI(term; entity) >= IC(entity) + log2(certainty),
    so that a text with the term holds the entity with that probability, however large the corpus. PMI is smoothed by `prior`
    texts in which entity and term are independent, so few texts tell less than many. Terms that meet the
-   entity in one text only tell the least: where a text has more than `few` of them, they are ordinary
-   rare words, and none counts. All occurrences of a disclosing term in the texts that hold the entity
-   are spans too, generalised or removed with the rest.
+   entity in one text only tell the least, and their counts are all alike: where a text has more than
+   `few` of them, each is judged by how the text writes it. Those that it writes as names (see `_named`)
+   count, however many; the others are ordinary rare words. All occurrences of a disclosing term in the
+   texts that hold the entity are spans too, generalised or removed with the rest.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,}")
+#: What stands before a word inside a sentence: a word, a comma and the like, or a short title or initial (Dr. J.).
+_INSIDE = re.compile(r"""(?:[\w,&/)'\u2019-]|(?<!\w)[A-Z][a-z]{0,2}\.)[^\S\r\n]*["'\u201c\u2018\xab(\[]*\Z""")
 #: Size of the filter for terms to count: 2 MB, whatever the corpus.
 _FILTER_BITS = 24
 
@@ -100,25 +103,38 @@ def _terms_outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tup
             yield m[0].lower(), m.start(), m.end()
 
 
+def _named(text: str, start: int) -> bool:
+    """Whether the word at `start` has a capital letter where neither a sentence nor a line starts, as names have."""
+    return text[start].isupper() and _INSIDE.search(text[max(0, start - 16) : start]) is not None
+
+
 def _held(docs: DataFrame) -> DataFrame:
-    """k1, k2, entities, terms (hashes): the distinct ones of every different text that holds an entity."""
+    """k1, k2, entities, terms, names (hashes): the distinct ones of every different text that holds an entity.
+
+    Names are the terms that the text writes as names at least once.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, entities, terms = [], [], []
+            row, entities, terms, names = [], [], [], []
             for i, text in enumerate(batch.column("text")):
                 text = text.as_py()
                 if spans := base_spans(text):
                     row.append(i)
                     entities.append(sorted({_term_hash(f"{KINDS[kind]}:{text[s:e].lower()}") for s, kind, e in spans}))
-                    terms.append([_term_hash(w) for w in sorted({w for w, _, _ in _terms_outside(text, spans)})])
+                    named: dict[str, bool] = {}
+                    for w, start, _ in _terms_outside(text, spans):
+                        named[w] = named.get(w) or _named(text, start)
+                    terms.append([_term_hash(w) for w in sorted(named)])
+                    names.append([_term_hash(w) for w in sorted(named) if named[w]])
             row, kind = pa.array(row, pa.int64()), pa.list_(pa.int64())
+            lists = [pa.array(x, kind) for x in (entities, terms, names)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("k1").take(row), batch.column("k2").take(row), pa.array(entities, kind), pa.array(terms, kind)],
-                names=["k1", "k2", "entities", "terms"],
+                [batch.column("k1").take(row), batch.column("k2").take(row), *lists],
+                names=["k1", "k2", "entities", "terms", "names"],
             )
 
-    kind = "k1 long, k2 long, entities array<long>, terms array<long>"
+    kind = "k1 long, k2 long, entities array<long>, terms array<long>, names array<long>"
     return docs.select(*text_keys(F.col("text")), "text").mapInArrow(emit, kind).dropDuplicates(["k1", "k2"])
 
 
@@ -198,7 +214,9 @@ def disclosing_terms(docs: DataFrame, certainty: float = 0.7, bits: float = 3, p
     once = F.collect_list(F.when(F.col("n_both") == 1, F.col("term")))
     often = F.collect_list(F.when(F.col("n_both") > 1, F.col("term")))
     of_text = met.groupBy("k1", "k2").agg(once.alias("once"), often.alias("often"))
-    found = F.when(F.size("once") <= few, F.concat("often", "once")).otherwise(F.col("often"))
+    of_text = of_text.join(held.select("k1", "k2", "names"), ["k1", "k2"])
+    counting = F.when(F.size("once") <= few, F.col("once")).otherwise(F.array_intersect("once", "names"))
+    found = F.concat("often", counting)
     return of_text.select("k1", "k2", F.sort_array(found).alias("terms")).filter(F.size("terms") > 0)
 
 

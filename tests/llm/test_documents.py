@@ -435,6 +435,22 @@ def test_ordinary_rare_words_stay(spark, n):
     assert [found[d].n_term for d in (1, 2, 7, 10, 11, 100)] == [0, 1, 1, 0, 0, 0]
 
 
+def test_names_among_many_rare_words_go(spark):
+    """However many words meet an entity in one text only, each that is written as a name goes; the others stay."""
+    import re
+
+    text = "Brontide again. It is Zanverol Quimbast, of Tolfrex, or Dr. Mabrindle, in vornish ulmery at q@x.example.org about tea today"
+    rows = [(1, text)]
+    rows += [(100 + i, f"note {i}. It is about tea today, again, and of ink, or in milk") for i in range(60)]
+    docs = cases.frame(spark, rows, extra=False)
+    names = ("Zanverol", "Quimbast", "Tolfrex", "Mabrindle")
+    spans = [f"term:{text.index(x)}:{text.index(x) + len(x)}" for x in names]
+    (found,) = disclosure.personal_data(docs).filter("doc_id = 1").collect()
+    assert [x for x in found.spans.split(",") if x.startswith("term")] == spans and found.n_term == 4
+    (clean,) = disclosure.sanitised(docs).filter("doc_id = 1").collect()
+    assert clean.text == re.sub("|".join(names), "[TERM]", text).replace("q@x.example.org", "[EMAIL]")
+
+
 def _plain_ftrl(rows, p):
     """Weights of FTRL-proximal, coordinate by coordinate, over rows of (features, label)."""
     z, n = defaultdict(float), defaultdict(float)
